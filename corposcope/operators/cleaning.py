@@ -11,7 +11,7 @@ LANGUAGE = "eng"
 
 
 def _int_or_zero(leaf: str) -> Column:
-    return F.coalesce(F.col(leaf).try_cast("int"), F.lit(0))
+    return F.coalesce(F.trim(leaf).try_cast("int"), F.lit(0))
 
 
 def _text_or_empty(value: Column) -> Column:
@@ -43,10 +43,10 @@ def with_defaults(articles: DataFrame, *, repeats: str = "first", markup: str =
         _int_or_zero(f"{cit}.DateCompleted.Year").alias("year"),
         _int_or_zero(f"{cit}.DateCompleted.Month").alias("month"),
         _int_or_zero(f"{cit}.DateCompleted.Day").alias("day"),
-        _text_or_empty(F.col(f"{art}.Journal.ISSN")).alias("issn"),
+        _text_or_empty(F.trim(f"{art}.Journal.ISSN")).alias("issn"),
         clean(_text_or_empty(_repeated(f"{art}.Abstract.AbstractText", repeats))).alias("abstract"),
         clean(_text_or_empty(F.col(f"{art}.ArticleTitle"))).alias("title"),
-        _text_or_empty(_repeated(f"{art}.Language", "first")).alias("language"),
+        _text_or_empty(F.trim(_repeated(f"{art}.Language", "first"))).alias("language"),
         *extra,
     )
 

@@ -128,13 +128,26 @@ def _marked_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _write_elements(elements: DataFrame, path: str) -> None:
+    """Files of article elements, one per ``shard``, each under a root element."""
+    ends = F.inline(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit("<PubmedArticleSet>").alias("value")),
+        F.struct(F.lit(2).alias("part"), F.lit("</PubmedArticleSet>").alias("value")),
+    ))
+    roots = elements.select("shard").distinct().select("shard", ends)
+    rows = elements.select("shard", F.lit(1).alias("part"), "value").unionByName(roots)
+    rows.repartition("shard").sortWithinPartitions("shard", "part").select("shard", "value").write.partitionBy(
+        "shard"
+    ).option("compression", "gzip").text(path)
+
+
 @query("article_markup", ctes(ARTICLES) + """
     SELECT id, '<i>' || split_part(title, ' ', 1) || '</i>' || substr(title, length(split_part(title, ' ', 1)) + 1) AS title,
       title AS plain_title, abstract FROM articles""")
 def article_markup(spark, folder):
     """Titles with inline markup keep it as text, or lose it on request."""
     path = new_path(spark, "markup")
-    _marked_files(spark, folder).select("value").write.option("compression", "gzip").text(path)
+    _write_elements(_marked_files(spark, folder).withColumn("shard", F.col("id") % 8), path)
     rows = cleaning.with_defaults(A.scan_articles(spark, path).drop("file", A.CORRUPT))
     return rows.select("id", "title", strip_markup(F.col("title")).alias("plain_title"), "abstract")
 
@@ -146,7 +159,7 @@ def _files_with_faults(spark: SparkSession, folder: str) -> str:
         F.when(F.col("id") % 100 == 7, F.expr("left(value, length(value) div 2)")).otherwise(F.col("value")).alias("value"),
         (F.col("id") % 20).alias("shard"),
     )
-    rows.repartition("shard").write.partitionBy("shard").text(path)
+    _write_elements(rows, path)
     return path
 
 

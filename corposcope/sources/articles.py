@@ -28,6 +28,7 @@ def _reader(spark_read):
         spark_read.format("xml")
         .option("rowTag", "PubmedArticle")
         .option("mode", "PERMISSIVE")
+        .option("ignoreSurroundingSpaces", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(f"{ARTICLE_SCHEMA}, {CORRUPT} string")
     )
