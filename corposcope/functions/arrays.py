@@ -55,6 +55,15 @@ def first_as_int(values: Column) -> Column:
     return F.get(values, F.lit(0)).try_cast("int")
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once per row.
+
+    Inside the lambda of a higher-order function a column expression would be
+    computed again for every element; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def aligned_labels(
     word_ids: Column, word_labels: Column, inside: Column | None = None
 ) -> Column:
@@ -65,20 +74,26 @@ def aligned_labels(
     Later pieces are ignored too, or take ``inside[label]`` when that array
     (label id to inside-label id) is given.
     """
-
-    def label(word: Column, i: Column) -> Column:
-        own = F.get(word_labels, word)
-        later = F.lit(IGNORED) if inside is None else F.get(inside, own)
-        return (
-            F.when(word.isNull(), F.lit(IGNORED))
-            .when(word.eqNullSafe(F.try_element_at(word_ids, i)), later)
-            .otherwise(own)
+    none = F.array(F.lit(None).cast("int"))
+
+    def spread(row: Column) -> Column:
+        ids = row["ids"]
+        # One longer than the ids: the word before each piece, none at the start.
+        before = F.concat(none, ids)
+
+        def label(word: Column, previous: Column) -> Column:
+            own = F.get(row["labels"], word)
+            later = F.lit(IGNORED) if inside is None else F.get(row["inside"], own)
+            return F.when(word == previous, later).otherwise(own)
+
+        return F.zip_with(
+            F.concat(ids, none),
+            before,
+            lambda word, previous: F.coalesce(label(word, previous), F.lit(IGNORED)),
         )
 
-    # Element i (1-based) is the one before index i (0-based); there is none at 0.
-    return F.transform(
-        word_ids,
-        lambda word, i: F.when(
-            i == 0, F.when(word.isNull(), F.lit(IGNORED)).otherwise(F.get(word_labels, word))
-        ).otherwise(label(word, i)),
-    )
+    parts = [word_ids.cast("array<int>").alias("ids"), word_labels.alias("labels")]
+    if inside is not None:
+        parts.append(inside.alias("inside"))
+    spread_labels = bound(F.struct(*parts), spread)
+    return F.slice(spread_labels, F.lit(1), F.size(word_ids))

@@ -249,30 +249,25 @@ def mask_tokens(
         return F.lit(format(int(round(share * 2**32)), "08x"))
 
     row = key.cast("string")
-    blocks = F.transform(
+    digests = F.transform(
         F.sequence(F.lit(0), F.expr("greatest(size(input_ids) - 1, 0) div 4")),
         lambda b: hash_key(row, b, seed=seed),
     )
-
-    def draw(i: Column) -> Column:
-        block = F.get(F.col("_blocks"), F.floor(i / 4).cast("int"))
-        return F.substring(block, (i % 4) * 8 + 1, F.lit(8))
+    # Four draws per digest, so at least as many draws as tokens.
+    draws = F.flatten(
+        F.transform(digests, lambda d: F.array(*[F.substring(d, at, 8) for at in (1, 9, 17, 25)]))
+    )
 
     def replacement(i: Column) -> Column:
         digest = hash_key(row, i, F.lit("random"), seed=seed)
         return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % vocab_size).cast("int")
 
-    drawn = (
-        df.withColumn("_blocks", blocks)
-        .withColumn("_draws", F.transform("input_ids", lambda t, i: draw(i)))
-        .withColumn(
-            "_picked",
-            F.zip_with(
-                "_draws", "special_tokens_mask",
-                lambda u, special: F.when((special == 0) & (u < threshold(probability)), u),
-            ),
-        )
+    ordinary = F.zip_with(
+        F.slice(draws, F.lit(1), F.size("input_ids")),
+        "special_tokens_mask",
+        lambda u, special: F.when((special == 0) & (u < threshold(probability)), u),
     )
+    drawn = df.withColumn("_picked", ordinary)
     pairs = F.arrays_zip(F.col("input_ids").alias("t"), F.col("_picked").alias("u"))
     masked = F.transform(
         pairs,
@@ -284,5 +279,5 @@ def mask_tokens(
     labels = F.transform(pairs, lambda x: F.when(x["u"].isNull(), F.lit(IGNORED)).otherwise(x["t"]))
     return (
         drawn.withColumn("labels", labels).withColumn("input_ids", masked)
-        .drop("_blocks", "_draws", "_picked")
+        .drop("_picked")
     )

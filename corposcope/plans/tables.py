@@ -149,7 +149,7 @@ ordered AS (
 WORDS = """
 placed AS (
   SELECT doc_id, unnest(string_split(lower(text), ' ')) AS word,
-    generate_subscripts(string_split(lower(text), ' '), 1) - 1 AS at
+    generate_subscripts(string_split(lower(text), ' '), 1) - 1 AS pos
   FROM documents)
 """
 
