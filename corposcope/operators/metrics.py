@@ -11,7 +11,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, DoubleType
 
 AVERAGES = ("binary", "micro", "macro", "weighted", "samples", None)
 
@@ -177,7 +177,7 @@ def _beta_tail(a: float, b: float, x: float) -> float:
     return front * (f - 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def pearson_pvalue(r: pd.Series, n: pd.Series) -> pd.Series:
     """Two-sided p-value of a correlation under no association; runs on aggregate rows."""
 
