@@ -314,11 +314,11 @@ def masked_token_accuracy(spark, folder):
 
 
 @query("combined_score", """
-    SELECT event_type AS run, round(avg(value), 6) AS combined_score FROM events WHERE user_id < 3
+    SELECT event_type || '-' || user_id AS run, round(avg(value), 6) AS combined_score FROM events
     GROUP BY 1 HAVING count(*) > 1""")
 def combined_score(spark, folder):
-    records = table(spark, folder, "events").where("user_id < 3").select(
-        F.col("event_type").alias("run"), F.col("event_id").cast("string").alias("metric"), "value"
+    records = table(spark, folder, "events").select(
+        F.concat_ws("-", "event_type", "user_id").alias("run"), F.col("event_id").cast("string").alias("metric"), "value"
     )
     return M.combined_score(records, ("run",)).withColumn("combined_score", F.round("combined_score", 6))
 

@@ -56,17 +56,18 @@ valid AS (
 def journal_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as yearly rank lists ``(year, rank, issn, sjr, h_index)``.
 
-    Odd years only. A journal is listed once per order status, so an ISSN
+    Two calendar years make one list, filed under the odd one, so that an
+    article's year can lie halfway between two lists. A journal is listed once per order status, so an ISSN
     repeats within a year; journals 6 to 11 share a cell with a second ISSN,
     journal 12 has none, and journal 5 has no score.
     """
     orders = table(spark, folder, "orders").select(
-        F.year("o_orderdate").alias("year"),
+        (F.year("o_orderdate") - 1 + F.year("o_orderdate") % 2).alias("year"),
         (F.col("o_custkey") % 13).alias("j"),
         F.col("o_orderstatus").alias("status"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
     )
-    lists = orders.where("year % 2 = 1").groupBy("year", "j", "status").agg(
+    lists = orders.groupBy("year", "j", "status").agg(
         F.sum("cents").alias("cents"), F.count("*").alias("n")
     )
     second = F.concat(F.lit(", src"), (F.col("j") + 6).cast("string"))
@@ -85,9 +86,9 @@ def journal_ranks(spark: SparkSession, folder: str) -> DataFrame:
 
 RANKS = """
 lists AS (
-  SELECT year(o_orderdate) AS year, o_custkey % 13 AS j, o_orderstatus AS status,
+  SELECT year(o_orderdate) - 1 + year(o_orderdate) % 2 AS year, o_custkey % 13 AS j, o_orderstatus AS status,
     CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) AS n
-  FROM orders WHERE year(o_orderdate) % 2 = 1 GROUP BY ALL),
+  FROM orders GROUP BY ALL),
 ranks AS (
   SELECT year, CAST(j * 3 + strpos('FOP', status) AS INTEGER) AS rank,
     CASE WHEN j = 12 THEN '-' WHEN j >= 6 THEN 'src' || j || ', src' || (j + 6) ELSE 'src' || j END AS issn,
