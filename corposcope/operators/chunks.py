@@ -173,7 +173,8 @@ def _sides(both: DataFrame, *keep: str) -> DataFrame:
         mark(F.col("_r"), 0, 1, 0),
         mark(F.array_intersect("_p", "_r"), 0, 0, 1),
     )
-    return both.select(*keep, F.inline(marked))
+    # The outer form keeps Spark from deriving a filter that finds the chunks again.
+    return both.select(*keep, F.inline_outer(marked)).where("chunk is not null")
 
 
 def chunk_counts(df: DataFrame, predicted: str, reference: str, **scheme) -> DataFrame:

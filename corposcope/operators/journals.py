@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def rank_rows(ranks: DataFrame) -> DataFrame:
@@ -49,10 +49,9 @@ def journal_profiles(sjr: DataFrame, h_index: DataFrame) -> DataFrame:
 def stack_years(earlier: DataFrame, later: DataFrame) -> DataFrame:
     """Add a later rank list to the table; it replaces equal ``(issn, year)`` keys."""
     tagged = earlier.withColumn("_age", F.lit(0)).unionByName(later.withColumn("_age", F.lit(1)))
-    latest = Window.partitionBy("issn", "year").orderBy(F.desc("_age"))
-    return (
-        tagged.withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n", "_age")
-    )
+    rest = [c for c in earlier.columns if c not in ("issn", "year")]
+    newest = F.max_by(F.struct(*rest), "_age").alias("_newest")
+    return tagged.groupBy("issn", "year").agg(newest).select("issn", "year", "_newest.*")
 
 
 def as_maps(sjr: DataFrame, h_index: DataFrame) -> DataFrame:

@@ -16,9 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.keys import bucket_of, hash_key
 from ..session import durable, new_path
 
-# 16**3 buckets; each extra digit divides the rows of a bucket by 16.
-BUCKET_DIGITS = 3
-# Buckets are kept below this many rows when the digits are chosen from a count.
+# Buckets are kept below this many rows by choosing their number from a count.
 ROWS_PER_BUCKET = 1_000_000
 # Up to this many rows a head-of-order selection is a plain top-n.
 TOP_N_ROWS = 10_000
@@ -33,6 +31,11 @@ def digits_for(rows: int) -> int:
     return min(max(wanted, 1), 5)
 
 
+def _digits(df: DataFrame, key: str, digits: int | None) -> int:
+    """Given digits, or those for the number of rows; the count reads one column."""
+    return digits_for(df.select(key).count()) if digits is None else digits
+
+
 def with_order_key(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.withColumn("_key", hash_key(key, seed=seed))
 
@@ -49,7 +52,7 @@ def bucket_starts(keyed: DataFrame, digits: int) -> DataFrame:
 
 
 def with_ordinal(
-    df: DataFrame, key: str, *, seed: int = 42, digits: int = BUCKET_DIGITS, keep_bucket: bool = False
+    df: DataFrame, key: str, *, seed: int = 42, digits: int | None = None, keep_bucket: bool = False
 ) -> DataFrame:
     """Add ``ordinal``, the 0-based position of each row after a seeded shuffle.
 
@@ -57,6 +60,7 @@ def with_ordinal(
     rows themselves are shuffled once, by bucket. The bucket table has at most
     ``16**digits`` rows, so broadcasting it is safe by construction.
     """
+    digits = _digits(df, key, digits)
     keyed = with_order_key(df, key, seed)
     starts = bucket_starts(with_order_key(df.select(key), key, seed), digits)
     inside = Window.partitionBy("_bucket").orderBy("_key", key)
@@ -76,17 +80,18 @@ def seeded_shuffle(df: DataFrame, key: str, *, seed: int = 42) -> DataFrame:
     return with_order_key(df, key, seed).orderBy("_key", key).drop("_key")
 
 
-def _cut(df: DataFrame, key: str, position: Column, seed: int, digits: int) -> DataFrame:
+def _cut(df: DataFrame, key: str, position: Column, seed: int, digits: int | None) -> DataFrame:
     """One row ``(_key, key)``: the row at ``position`` of the order.
 
     ``position`` may refer to ``_total``. Only the bucket that holds the
     position is sorted. No row comes back when the position is past the end.
     """
-    keyed = durable(
+    digits = _digits(df, key, digits)
+    starts = durable(
         bucket_starts(with_order_key(df.select(key), key, seed), digits)
         .withColumn("_total", F.sum("_rows").over(Window.partitionBy()))
     )
-    target = keyed.withColumn("_at", position - F.col("_start")).where(
+    target = starts.withColumn("_at", position - F.col("_start")).where(
         (F.col("_at") >= 0) & (F.col("_at") < F.col("_rows"))
     )
     inside = Window.partitionBy("_bucket").orderBy("_key", key)
@@ -100,7 +105,7 @@ def _cut(df: DataFrame, key: str, position: Column, seed: int, digits: int) -> D
     )
 
 
-def _before(df: DataFrame, key: str, position: Column, seed: int, digits: int) -> Column:
+def _before(df: DataFrame, key: str, position: Column, seed: int, digits: int | None) -> Column:
     """Condition on ``_key`` and ``key``: does the row come before ``position``?"""
     cut = _cut(df, key, position, seed, digits).first()
     if cut is None:
@@ -114,7 +119,7 @@ def train_validation_split(
     fraction: float = 0.01,
     *,
     seed: int = 42,
-    digits: int = BUCKET_DIGITS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Add ``split``: the last ``ceil(rows * fraction)`` rows of the order are validation.
 
@@ -144,7 +149,7 @@ def _check_fraction(fraction: float) -> None:
 
 
 def first_rows(
-    df: DataFrame, n: int, key: str, *, seed: int = 42, digits: int = BUCKET_DIGITS,
+    df: DataFrame, n: int, key: str, *, seed: int = 42, digits: int | None = None,
     top_n_rows: int = TOP_N_ROWS,
 ) -> DataFrame:
     """The first ``min(n, rows)`` rows of the seeded order.

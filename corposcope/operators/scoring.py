@@ -117,7 +117,9 @@ def _band_condition(metric: str, low: float, high: float) -> Column:
 def band_membership(df: DataFrame, bands: list[Band] = BANDS) -> DataFrame:
     """One row per document and band that holds it; the bands are part of the plan."""
     labels = F.array(*[F.when(b.contains(), F.lit(b.label)) for b in bands])
-    return df.withColumn("band", F.explode(F.filter(labels, lambda label: label.isNotNull())))
+    held = F.filter(labels, lambda label: label.isNotNull())
+    # The outer form keeps Spark from testing every band a second time as a filter.
+    return df.withColumn("band", F.explode_outer(held)).where("band is not null")
 
 
 def band_summary(df: DataFrame, tokens: Column, bands: list[Band] = BANDS) -> DataFrame:

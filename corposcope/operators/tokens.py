@@ -11,7 +11,7 @@ from ..functions.arrays import IGNORED, fixed_length
 from ..functions.keys import hash_key
 from ..functions.pieces import piece_mapper
 from .lookup import BROADCAST_BYTES, lookup_join, measured_bytes
-from .ordering import BUCKET_DIGITS, with_ordinal, with_sorted_ordinal
+from .ordering import with_ordinal, with_sorted_ordinal
 
 # Special pieces, in id order for vocabularies built here.
 SPECIAL_PIECES = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
@@ -29,7 +29,8 @@ def words(text: str = "text") -> Column:
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n)``; counts are combined before the shuffle, so a frequent word is one row per task."""
-    return df.select(F.explode(words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # A split is never empty; the outer form avoids splitting again for a filter.
+    return df.select(F.explode_outer(words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def word_vocabulary(df: DataFrame, text: str = "text", first_id: int = len(SPECIAL_PIECES)) -> DataFrame:
@@ -48,7 +49,7 @@ def piece_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
     clean = F.regexp_replace(F.lower(text), r"([^\p{L}\p{N}])", " $1 ")
     counts = word_counts(df.select(clean.alias("text"))).where("word <> '' and word rlike '^\\\\S+$'")
     top = counts.orderBy(F.desc("n"), "word").limit(size).select("word", "n")
-    chars = counts.select(F.explode(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
+    chars = counts.select(F.explode_outer(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
     specials = F.array(*[F.struct(F.lit(p).alias("piece"), F.lit(i).alias("at")) for i, p in enumerate(SPECIAL_PIECES)])
     starts = chars.select(F.col("ch").alias("piece"), F.lit(1).alias("kind"), F.lit(0).alias("at"))
     later = chars.select(F.concat(F.lit("##"), "ch").alias("piece"), F.lit(2).alias("kind"), F.lit(0).alias("at"))
@@ -134,7 +135,7 @@ def word_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", **jo
     A join rather than a map in memory: a vocabulary that fits is broadcast,
     a larger one meets salted words, so the most frequent word is spread out.
     """
-    placed = df.select(key, F.posexplode(words(text)).alias("at", "word"))
+    placed = df.select(key, F.posexplode_outer(words(text)).alias("at", "word"))
     found = lookup_join(placed, vocab.select("word", "word_id"), "word", "inner", spread=[key, "at"], **join)
     pairs = F.array_sort(F.collect_list(F.struct("at", "word_id")))
     return found.groupBy(key).agg(pairs.getField("word_id").alias("ids"))
@@ -206,7 +207,7 @@ def pack_shuffled(
     *,
     batch_size: int = 1024,
     seed: int = 42,
-    digits: int = BUCKET_DIGITS,
+    digits: int | None = None,
     fills: dict[str, int] = PACK_FILLS,
 ) -> DataFrame:
     """Seeded shuffle and packing with a single shuffle of the token arrays.
@@ -225,6 +226,14 @@ def pack_shuffled(
     return inside.unionByName(across)
 
 
+def first_packed(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``min(n, rows)`` packed rows, a cap for short runs.
+
+    No batch is empty, so they lie in the first ``n`` batches.
+    """
+    return rows.where(F.col("batch") < n).orderBy("batch", "chunk").limit(n)
+
+
 # --- masking ----------------------------------------------------------------
 
 

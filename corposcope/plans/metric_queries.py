@@ -216,7 +216,7 @@ matches AS (
 @query("tag_chunks", ctes(*_CHUNKS) + "SELECT doc_id, chunk FROM ref_chunks")
 def tag_chunks(spark, folder):
     rows = C.with_chunks(tagged(spark, folder), "ref", "chunks")
-    return rows.select("doc_id", F.explode("chunks").alias("chunk"))
+    return rows.select("doc_id", F.explode_outer("chunks").alias("chunk")).where("chunk is not null")
 
 
 @query("chunk_matches", ctes(*_CHUNKS, _MATCHES) + "SELECT doc_id, chunk, in_pred, in_ref FROM matches")

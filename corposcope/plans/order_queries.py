@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import ordering as O
 from .registry import ctes, query
-from .tables import ORDERED, documents
+from .tables import ORDERED, table
 
 
 def _docs(spark, folder):
-    return documents(spark, folder).select("doc_id", "n_chars")
+    return table(spark, folder, "documents").select("doc_id", "n_chars")
 
 
 @query("global_ordinal", ctes(ORDERED) + """
@@ -22,7 +22,7 @@ def global_ordinal(spark, folder):
 @query("seeded_shuffle", ctes(ORDERED) + """
     SELECT o.doc_id, d.text FROM ordered o JOIN documents d ON d.doc_id = o.doc_id ORDER BY o.ordinal""")
 def seeded_shuffle(spark, folder):
-    return O.seeded_shuffle(documents(spark, folder).select("doc_id", "text"), "doc_id")
+    return O.seeded_shuffle(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query("train_validation_split", ctes(ORDERED) + """

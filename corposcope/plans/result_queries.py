@@ -8,6 +8,7 @@ from ..functions.text import metric_name
 from ..operators import results as R, scoring as S
 from ..session import new_path
 from ..sources import records as RS
+from . import jobs
 from .registry import ctes, query
 from .tables import (
     CORPORA, RECORDS, REPORTED_MODELS, RUNS, SCORED_ALL, run_records, run_results, scored, table,
@@ -86,7 +87,7 @@ def training_logs(spark, folder):
     path = new_path(spark, "logs")
     log = training_log(spark, folder)
     entry = F.struct("step", (F.col("step") / 1000).alias("epoch"), "loss", "train_loss")
-    files = log.groupBy("run", F.expr("step div 500").alias("part")).agg(
+    files = log.groupBy("run", F.expr("step div 5000").alias("part")).agg(
         F.collect_list(entry).alias("log_history")
     )
     files.select("run", "log_history").write.partitionBy("run").option("maxRecordsPerFile", 1).json(path)
@@ -221,6 +222,18 @@ def score_table_turned(spark, folder):
     return R.transpose(table, "model", REPORTED_MODELS)
 
 
+@query("score_report", ctes(RECORDS, RUNS, _HEADLINE) + f"""
+    SELECT model, {_WIDE_COLUMNS}, round(sum(performance) / 11, 2) AS dataset_average,
+      round(sum(performance / (4 * CASE WHEN corpus = 'hoc' THEN 1 WHEN corpus IN ('chemprot', 'ddi-corpus', 'gad') THEN 3
+        WHEN corpus IN ('bioasq-task-b', 'pubmed-qa') THEN 2 ELSE 5 END)), 2) AS task_average
+    FROM headline WHERE corpus IN ({_REPORTED}) GROUP BY model""")
+def score_report(spark, folder):
+    """Raw records to the table of models by corpora with both averages."""
+    records = run_records(spark, folder)
+    plain = records.withColumnsRenamed({c: c.replace("predict_", "").replace("overall_", "") for c in records.columns})
+    return jobs.score_report(plain)
+
+
 @query("best_two_models", ctes(RECORDS, RUNS, _HEADLINE) + """
     SELECT corpus, model, round(performance, 6) AS performance, CAST(place AS INTEGER) AS place FROM (
       SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY performance DESC, model) AS place FROM headline)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.journals import h_index_by_issn, journal_profiles, rank_rows, sjr_by_year
 from ..operators.scoring import score_articles
+from ..session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,7 +22,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def articles(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as cleaned articles: the first line is the title, the rest the abstract."""
     text = F.col("text")
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         F.col("doc_id").alias("id"),
         F.substring_index(text, "\n", 1).alias("title"),
         F.when(F.contains(text, F.lit("\n")), F.expr("substring(text, instr(text, '\n') + 1)"))
@@ -162,7 +163,7 @@ vocabulary AS (
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 # --- tags -------------------------------------------------------------------

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import fixed_length, truncated
 from ..operators import tokens as T
-from ..session import durable
+from ..operators.scoring import Band
+from ..session import durable, staged
+from . import jobs
 from .registry import ctes, query
-from .tables import ORDERED, VOCABULARY, WORDS, documents
+from .tables import ORDERED, SCORED_ALL, VOCABULARY, WORDS, documents, scored
 
 PACK_LENGTH, PACK_BATCH = 128, 64
+VOCABULARY_WORDS = 20_000
 
 
 def _docs(spark, folder):
@@ -63,13 +66,13 @@ pieces AS (
     SELECT * FROM (VALUES ('[PAD]', 0, 0), ('[UNK]', 0, 1), ('[CLS]', 0, 2), ('[SEP]', 0, 3), ('[MASK]', 0, 4)) t(piece, kind, pos)
     UNION ALL SELECT ch, 1, 0 FROM chars WHERE ch <> ''
     UNION ALL SELECT '##' || ch, 2, 0 FROM chars WHERE ch <> ''
-    UNION ALL SELECT word, 3, -n FROM (SELECT word, n FROM counted ORDER BY n DESC, word LIMIT 2000) WHERE length(word) > 1))
+    UNION ALL SELECT word, 3, -n FROM (SELECT word, n FROM counted ORDER BY n DESC, word LIMIT 20000) WHERE length(word) > 1))
 """
 
 
 @query("piece_vocabulary", ctes(_PIECES) + "SELECT piece, id FROM pieces")
 def piece_vocabulary(spark, folder):
-    return T.piece_vocabulary(_docs(spark, folder), 2000)
+    return T.piece_vocabulary(_docs(spark, folder), VOCABULARY_WORDS)
 
 
 _MATCHED = r"""
@@ -105,7 +108,7 @@ token_ids AS (
 
 def tokenised(spark: SparkSession, folder: str, **options) -> DataFrame:
     docs = _docs(spark, folder)
-    vocab = durable(T.piece_vocabulary(docs, 2000))
+    vocab = durable(T.piece_vocabulary(docs, VOCABULARY_WORDS))
     return T.tokenise(docs, vocab, **options)
 
 
@@ -190,9 +193,10 @@ _PACKED_COLUMNS = f"""
       CAST(len([x FOR x IN special IF x]) + {{0}} - len(ids) AS INTEGER) AS specials FROM packed"""
 
 
-def _packed_report(rows: DataFrame) -> DataFrame:
+def _packed_report(rows: DataFrame, *keep: str) -> DataFrame:
     total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
     return rows.select(
+        *keep,
         F.col("batch").cast("long").alias("batch"),
         F.col("chunk").cast("long").alias("chunk"),
         F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
@@ -214,6 +218,45 @@ def packed_rows_small_batches(spark, folder):
     return _packed_report(rows)
 
 
+_TRAINING = ctes(*SCORED_ALL, WORDS, VOCABULARY, _WORD_IDS) + """,
+    wrapped AS (
+      SELECT s.id, s.sjr, list_concat(list_concat([2], w.ids), [3]) AS ids,
+        row_number() OVER (ORDER BY md5(s.id || '|42'), s.id) AS place, count(*) OVER () AS total
+      FROM scored s JOIN word_ids w ON w.doc_id = s.id),
+    parts AS (
+      SELECT *, CASE WHEN place > total - ceil(total / 10.0) THEN 'validation' ELSE 'train' END AS split FROM wrapped),
+    kept AS (
+      SELECT split, ids, row_number() OVER (PARTITION BY split ORDER BY place) - 1 AS ordinal
+      FROM parts WHERE split = 'validation' OR sjr BETWEEN 0.759 AND 100),
+    spans AS (
+      SELECT split, ordinal // 64 AS batch, ids,
+        sum(len(ids)) OVER (PARTITION BY split, ordinal // 64 ORDER BY ordinal) - len(ids) AS start FROM kept),
+    tokens AS (
+      SELECT split, batch, start + i AS pos, ids[i + 1] AS id, i = 0 OR i = len(ids) - 1 AS special
+      FROM (SELECT split, batch, ids, start, unnest(range(len(ids))) AS i FROM spans)),
+    packed AS (
+      SELECT split, batch, CAST(pos // 128 AS BIGINT) AS chunk, list(id ORDER BY pos) AS ids, list(special ORDER BY pos) AS special
+      FROM tokens GROUP BY ALL)"""
+
+
+@query("training_rows", _TRAINING + _PACKED_COLUMNS.format(128).replace("SELECT", "SELECT split,", 1))
+def training_rows(spark, folder):
+    """Scored articles to token rows: split, metric band on the training part, packing."""
+    scores = scored(spark, folder).select(F.col("id").alias("doc_id"), "sjr")
+    tokens = staged(_packable(spark, folder).join(scores, "doc_id"), "tokens")
+    band = Band("sjr", 0.759, 100.0, "top50%")
+    rows = jobs.training_rows(tokens, "doc_id", length=128, band=band, fraction=0.1, batch_size=64)
+    return _packed_report(rows, "split")
+
+
+@query("first_packed_rows", _packed_sql(PACK_LENGTH, PACK_BATCH) + _PACKED_COLUMNS.format(PACK_LENGTH) + """
+    ORDER BY batch, chunk LIMIT 200""")
+def first_packed_rows(spark, folder):
+    """A cap on the packed training rows."""
+    rows = T.pack_shuffled(_packable(spark, folder), "doc_id", PACK_LENGTH, batch_size=PACK_BATCH)
+    return _packed_report(T.first_packed(rows, 200))
+
+
 def _draw(i: str) -> str:
     return f"substr(md5(rowkey || '|' || ({i} // 4) || '|42'), CAST(({i} % 4) * 8 + 1 AS INTEGER), 8)"
 
