@@ -229,7 +229,7 @@ def tag_accuracy(df: DataFrame, predicted: str, reference: str) -> DataFrame:
     """Share of equal tags over all positions."""
     equal = F.size(F.filter(F.zip_with(predicted, reference, lambda p, r: p == r), lambda x: x))
     counts = df.agg(F.sum(equal).alias("hits"), F.sum(F.size(reference)).alias("tags"))
-    return counts.select((F.col("hits") / F.col("tags")).alias("accuracy"))
+    return counts.select(F.try_divide("hits", "tags").alias("accuracy"))
 
 
 def flat_scores(scores: DataFrame) -> DataFrame:

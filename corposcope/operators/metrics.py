@@ -31,7 +31,7 @@ def accuracy(
     """Share (or weight) of equal labels; arrays count when they are equal as a whole."""
     w = _weight(weight)
     right = F.sum(F.when(F.col(predicted) == F.col(reference), w).otherwise(0.0))
-    value = right / F.sum(w) if normalize else right
+    value = F.try_divide(right, F.sum(w)) if normalize else right
     return df.groupBy(*by).agg(value.alias("accuracy"))
 
 
@@ -44,7 +44,7 @@ def visible_accuracy(df: DataFrame, predicted: str, labels: str, *, ignored: int
     counted = df.select(
         F.size(seen).alias("n"), F.size(F.filter(seen, lambda x: x == 1)).alias("hits")
     )
-    return counted.agg((F.sum("hits") / F.sum("n")).alias("accuracy"), F.sum("n").alias("positions"))
+    return counted.agg(F.try_divide(F.sum("hits"), F.sum("n")).alias("accuracy"), F.sum("n").alias("positions"))
 
 
 def label_counts(
@@ -121,7 +121,7 @@ def _f1_samples(df, predicted, reference, weight, by) -> DataFrame:
     both = F.zip_with(predicted, reference, lambda p, r: F.when((p == 1) & (r == 1), 1).otherwise(0))
     score = _ratio(2 * ones(both), ones(F.col(predicted)) + ones(F.col(reference)))
     w = _weight(weight)
-    return df.groupBy(*by).agg((F.sum(score * w) / F.sum(w)).alias("f1"))
+    return df.groupBy(*by).agg(F.try_divide(F.sum(score * w), F.sum(w)).alias("f1"))
 
 
 def mse(
@@ -140,14 +140,14 @@ def mse(
     else:
         gap = F.col(predicted).cast("double") - F.col(reference).cast("double")
         rows = df.select(w, F.lit(0).alias("output"), F.pow(gap, F.lit(2.0)).alias("e"))
-    error = F.sum(F.col("w") * F.col("e")) / F.sum("w")
+    error = F.try_divide(F.sum(F.col("w") * F.col("e")), F.sum("w"))
     outputs = rows.groupBy("output").agg((error if squared else F.sqrt(error)).alias("mse"))
     if multioutput == "raw_values":
         return outputs
     if multioutput == "uniform_average":
         return outputs.agg(F.avg("mse").alias("mse"))
     share = F.get(F.array(*[F.lit(float(x)) for x in multioutput]), F.col("output"))
-    return outputs.agg((F.sum(share * F.col("mse")) / F.sum(share)).alias("mse"))
+    return outputs.agg(F.try_divide(F.sum(share * F.col("mse")), F.sum(share)).alias("mse"))
 
 
 def _beta_tail(a: float, b: float, x: float) -> float:

@@ -144,7 +144,7 @@ def band_summary(df: DataFrame, tokens: Column, bands: list[Band] = BANDS) -> Da
         ]
     )
     return wide.select("total", F.inline(rows)).select(
-        "band", "documents", "tokens", F.round(F.col("documents") / F.col("total"), 6).alias("share")
+        "band", "documents", "tokens", F.round(F.try_divide("documents", "total"), 6).alias("share")
     )
 
 

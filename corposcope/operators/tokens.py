@@ -36,7 +36,7 @@ def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
 def word_vocabulary(df: DataFrame, text: str = "text", first_id: int = len(SPECIAL_PIECES)) -> DataFrame:
     """Every word with an id by falling frequency, then alphabetically."""
     ranked = with_sorted_ordinal(word_counts(df, text), F.desc("n"), F.asc("word"), name="rank")
-    return ranked.select("word", "n", (F.col("rank") + first_id).cast("int").alias("word_id"))
+    return ranked.select("word", "n", (F.col("rank") + first_id).alias("word_id"))
 
 
 def piece_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
@@ -50,11 +50,11 @@ def piece_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
     counts = word_counts(df.select(clean.alias("text"))).where("word <> '' and word rlike '^\\\\S+$'")
     top = counts.orderBy(F.desc("n"), "word").limit(size).select("word", "n")
     chars = counts.select(F.explode_outer(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
-    specials = F.array(*[F.struct(F.lit(p).alias("piece"), F.lit(i).alias("at")) for i, p in enumerate(SPECIAL_PIECES)])
-    starts = chars.select(F.col("ch").alias("piece"), F.lit(1).alias("kind"), F.lit(0).alias("at"))
-    later = chars.select(F.concat(F.lit("##"), "ch").alias("piece"), F.lit(2).alias("kind"), F.lit(0).alias("at"))
+    specials = F.array(*[F.struct(F.lit(p).alias("piece"), F.lit(i).cast("long").alias("at")) for i, p in enumerate(SPECIAL_PIECES)])
+    starts = chars.select(F.col("ch").alias("piece"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("at"))
+    later = chars.select(F.concat(F.lit("##"), "ch").alias("piece"), F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"))
     frequent = top.where(F.length("word") > 1).select(
-        F.col("word").alias("piece"), F.lit(3).alias("kind"), (-F.col("n")).cast("int").alias("at")
+        F.col("word").alias("piece"), F.lit(3).alias("kind"), (-F.col("n")).alias("at")
     )
     fixed = df.sparkSession.range(1).select(F.inline(specials)).select("piece", F.lit(0).alias("kind"), "at")
     everything = fixed.unionByName(starts).unionByName(later).unionByName(frequent)

@@ -18,8 +18,8 @@ def scan_results(spark: SparkSession, path: str | list[str], *, pattern: str = "
     Records differ in their keys, so each file is read as a map.
     """
     raw = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern).text(path)
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+        .text(path, wholetext=True)
     )
     record = F.from_json("value", "map<string,double>")
     return raw.select(
@@ -67,7 +67,7 @@ def parse_bands(text: Column) -> Column:
 
 def scan_bands(spark: SparkSession, path: str) -> DataFrame:
     """``metric, low, high, name`` from a band configuration file."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.inline(parse_bands(F.col("value"))))
 
 
@@ -92,13 +92,13 @@ def parse_percentiles(text: Column) -> Column:
 
 def scan_percentiles(spark: SparkSession, path: str) -> DataFrame:
     """``metric, pct, value`` from a corpus statistics file."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.inline(parse_percentiles(F.col("value"))))
 
 
 def scan_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """``piece, id`` from a file with one word piece per line; the id is the line number."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
     return raw.select(F.posexplode(lines).alias("id", "piece")).select("piece", "id")
 
