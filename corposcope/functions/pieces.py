@@ -42,14 +42,17 @@ def words_of(chunk: str) -> list[str]:
     return "".join(spaced).split()
 
 
-def pieces_of(word: str, vocab: dict[str, int], unknown: int) -> list[int]:
-    """Greedy longest match from the left; later pieces carry the ``##`` prefix."""
+def pieces_of(word: str, vocab: dict[str, int], unknown: int, longest: int = MAX_WORD) -> list[int]:
+    """Greedy longest match from the left; later pieces carry the ``##`` prefix.
+
+    No piece is longer than ``longest``.
+    """
     if len(word) > MAX_WORD:
         return [unknown]
     ids, start = [], 0
     while start < len(word):
         mark = "##" if start else ""
-        for end in range(len(word), start, -1):
+        for end in range(min(len(word), start + longest), start, -1):
             found = vocab.get(mark + word[start:end])
             if found is not None:
                 ids.append(found)
@@ -63,6 +66,7 @@ def pieces_of(word: str, vocab: dict[str, int], unknown: int) -> list[int]:
 def piece_mapper(vocab: dict[str, int], unknown: str = "[UNK]") -> Callable[[str], list[int]]:
     """A function from text to piece ids that remembers the chunks it has seen."""
     unknown_id = vocab[unknown]
+    longest = max(map(len, vocab))
     seen: dict[str, list[int]] = {}
 
     def chunk_ids(chunk: str) -> list[int]:
@@ -70,7 +74,7 @@ def piece_mapper(vocab: dict[str, int], unknown: str = "[UNK]") -> Callable[[str
         if ids is None:
             if len(seen) >= REMEMBERED:
                 seen.clear()
-            ids = [i for word in words_of(chunk) for i in pieces_of(word, vocab, unknown_id)]
+            ids = [i for word in words_of(chunk) for i in pieces_of(word, vocab, unknown_id, longest)]
             seen[chunk] = ids
         return ids
 

@@ -62,29 +62,29 @@ def _type(tag: Column, suffix: bool) -> Column:
     return F.when(kind == "", "_").otherwise(kind)
 
 
-def _any_of(patterns: list[str], before: Column, now: Column) -> Column:
+def _any_of(patterns: list[str], before: Column, now: Column, suffix: bool) -> Column:
     condition = F.lit(False)
     for pattern in patterns:
         left, right, relation = pattern.split()
         match = F.lit(True)
         if left != "*":
-            match = match & (before["p"] == left)
+            match = match & (_prefix(before, suffix) == left)
         if right != "*":
-            match = match & (now["p"] == right)
+            match = match & (_prefix(now, suffix) == right)
         if relation == "same":
-            match = match & (before["t"] == now["t"])
+            match = match & (_type(before, suffix) == _type(now, suffix))
         elif relation == "diff":
-            match = match & (before["t"] != now["t"])
+            match = match & (_type(before, suffix) != _type(now, suffix))
         condition = condition | match
     return condition
 
 
-def _continues(before: Column, now: Column) -> Column:
+def _continues(before: Column, now: Column, suffix: bool) -> Column:
     """Lenient rule: the tag goes on with the chunk of the tag before it."""
     return (
-        ~before["p"].isin("O", "E", "S")
-        & ~now["p"].isin("O", "B", "S")
-        & (before["t"] == now["t"])
+        ~_prefix(now, suffix).isin("O", "B", "S")
+        & ~_prefix(before, suffix).isin("O", "E", "S")
+        & (_type(before, suffix) == _type(now, suffix))
     )
 
 
@@ -101,50 +101,46 @@ def with_chunks(
     if scheme is not None and scheme not in STRICT_SCHEMES:
         raise ValueError(f"scheme should be one of {sorted(STRICT_SCHEMES)}, got {scheme}")
     rules = STRICT_SCHEMES[scheme] if strict and scheme else None
-    outside = F.struct(F.lit("O").alias("p"), F.lit("_").alias("t"))
-    parsed = F.transform(
-        tags, lambda t: F.struct(_prefix(t, suffix).alias("p"), _type(t, suffix).alias("t"))
-    )
-    # Position i sees the tag before it; one outside tag closes the sequence.
-    steps = F.transform(
-        F.arrays_zip(
-            F.concat(F.array(outside), "_tags").alias("before"),
-            F.concat("_tags", F.array(outside)).alias("now"),
-        ),
-        lambda x, i: F.struct(i.alias("i"), x["before"].alias("before"), x["now"].alias("now")),
-    )
 
-    def inside(x: Column) -> Column:
+    def inside(before: Column, now: Column) -> Column:
         if rules is None:
-            return _continues(x["before"], x["now"])
-        return _any_of(rules["inside"], x["before"], x["now"])
-
-    # Runs lie between neighbouring breaks; a break is a position that does not go on.
-    runs = F.zip_with(
-        F.slice("_breaks", F.lit(1), F.size("_breaks") - 1),
-        F.slice("_breaks", F.lit(2), F.size("_breaks") - 1),
-        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-    )
+            return _continues(before, now, suffix)
+        return _any_of(rules["inside"], before, now, suffix)
+
+    # Position i sees the tag before it; one outside tag closes the sequence.
+    outside = F.array(F.lit("O"))
+    pairs = F.arrays_zip(F.concat(outside, tags).alias("before"), F.concat(tags, outside).alias("now"))
+
+    def mark(x: Column, i: Column) -> Column:
+        """The position if a run starts there; of outside tags only the first matters."""
+        before, now = x["before"], x["now"]
+        idle = (before == "O") & (now == "O")
+        fields = [i.alias("i"), now.alias("now")] + ([] if rules is None else [before.alias("before")])
+        return F.when(~idle & ~inside(before, now), F.struct(*fields))
 
-    def is_chunk(run: Column) -> Column:
+    breaks = F.filter(F.transform(pairs, mark), lambda x: x.isNotNull())
+
+    def is_chunk(a: Column, b: Column) -> Column:
         if rules is None:
-            return run["a"]["now"]["p"] != "O"
-        a, b = run["a"], run["b"]
-        return _any_of(rules["start"], a["before"], a["now"]) & _any_of(rules["end"], b["before"], b["now"])
-
-    text = F.transform(
-        F.filter(runs, is_chunk),
-        lambda run: F.concat_ws(
-            "|", run["a"]["i"].cast("string"), (run["b"]["i"] - 1).cast("string"), run["a"]["now"]["t"]
-        ),
-    )
-    return (
-        df.withColumn("_tags", parsed)
-        .withColumn("_steps", steps)
-        .withColumn("_breaks", F.filter("_steps", lambda x: ~inside(x)))
-        .withColumn(out, text)
-        .drop("_tags", "_steps", "_breaks")
+            return _prefix(a["now"], suffix) != "O"
+        return _any_of(rules["start"], a["before"], a["now"], suffix) & _any_of(
+            rules["end"], b["before"], b["now"], suffix
+        )
+
+    def chunk(a: Column, b: Column) -> Column:
+        """A run lies between neighbouring breaks; null if it is no chunk."""
+        bar = F.lit("|")
+        text = F.concat(
+            a["i"].cast("string"), bar, (b["i"] - 1).cast("string"), bar, _type(a["now"], suffix)
+        )
+        return F.when(is_chunk(a, b), text)
+
+    count = F.greatest(F.size("_breaks") - 1, F.lit(0))
+    text = F.filter(
+        F.zip_with(F.slice("_breaks", F.lit(1), count), F.slice("_breaks", F.lit(2), count), chunk),
+        lambda c: c.isNotNull(),
     )
+    return df.withColumn("_breaks", breaks).withColumn(out, text).drop("_breaks")
 
 
 def chunk_type(chunk: Column) -> Column:

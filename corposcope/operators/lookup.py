@@ -13,9 +13,18 @@ SALTS = 32
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a table in its JSON text form, an upper bound in practice for its rows."""
-    row = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
-    return int(row["b"] or 0)
+    """Bytes of a table: texts by their length, nested values by their JSON form,
+    everything else as one word, and one word per field for the layout."""
+
+    def field_bytes(name: str, kind: str):
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(name), F.lit(0)) + 8
+        if kind in ("array", "map", "struct"):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) + 8
+        return F.lit(16)
+
+    total = sum((field_bytes(f.name, f.dataType.typeName()) for f in df.schema.fields), F.lit(8))
+    return int(df.agg(F.sum(total.cast("long")).alias("b")).first()["b"] or 0)
 
 
 def lookup_join(
@@ -25,12 +34,13 @@ def lookup_join(
     how: str = "left",
     *,
     spread: list[str] | None = None,
+    stored: bool = False,
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``df`` with ``side`` on equal keys without letting a hot key pile up.
 
-    ``side`` is written once and measured. Up to ``limit`` bytes it is broadcast,
+    ``side`` is written once, unless it is already ``stored``, and measured. Up to ``limit`` bytes it is broadcast,
     so ``df`` is never shuffled. Beyond that each row of ``df`` gets a salt
     derived from its ``spread`` columns and ``side`` is repeated per salt, so a
     key that holds a third of the rows still lands in ``salts`` tasks. The
@@ -38,7 +48,7 @@ def lookup_join(
     of ``df`` in place (inner, left, left_semi, left_anti).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    side = durable(side)
+    side = side if stored else durable(side)
     if measured_bytes(side) <= limit:
         return df.join(F.broadcast(side), keys, how)
     spread = spread or [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]

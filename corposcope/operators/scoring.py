@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import staged
 from .cleaning import article_text, normal_issn, valid_articles, with_random_key
 from .lookup import BROADCAST_BYTES, SALTS, lookup_join
 
@@ -185,12 +186,14 @@ def exact_percentiles(df: DataFrame, column: str, percents: list[float] = PERCEN
     """``(pct, value)``: exact percentiles with linear interpolation.
 
     Equal values are counted first, so a value that fills a third of the rows
-    is one row afterwards. The distinct values are cut into ranges of about
-    equal size and ranked per range; no task sees all of them.
+    is one row afterwards. The counts are written once, as they are read three
+    times. The distinct values are cut into ranges of about equal size and
+    ranked per range; no task sees all of them.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(
         F.count("*").alias("n")
     )
+    counts = staged(counts, "values")
     steps = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
     bounds = counts.agg(F.percentile_approx("v", steps, 10_000).alias("b"))
     ranged = counts.withColumn("_bounds", bounds.scalar()).select(

@@ -93,8 +93,8 @@ def tokenise(
         for batch in batches:
             flat: list[int] = []
             ends = [0]
-            for value in batch:
-                flat += ids_of(value.as_py() or "")
+            for text_value in batch.to_pylist():
+                flat += ids_of(text_value or "")
                 ends.append(len(flat))
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
@@ -134,9 +134,13 @@ def word_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", **jo
 
     A join rather than a map in memory: a vocabulary that fits is broadcast,
     a larger one meets salted words, so the most frequent word is spread out.
+    The vocabulary is read twice, so pass a stored table.
     """
     placed = df.select(key, F.posexplode_outer(words(text)).alias("at", "word"))
-    found = lookup_join(placed, vocab.select("word", "word_id"), "word", "inner", spread=[key, "at"], **join)
+    found = lookup_join(
+        placed, vocab.select("word", "word_id"), "word", "inner",
+        spread=[key, "at"], stored=True, **join,
+    )
     pairs = F.array_sort(F.collect_list(F.struct("at", "word_id")))
     return found.groupBy(key).agg(pairs.getField("word_id").alias("ids"))
 
