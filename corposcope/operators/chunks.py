@@ -195,14 +195,18 @@ def _scores(zero_division: float) -> dict[str, Column]:
 def entity_scores(
     df: DataFrame, predicted: str, reference: str, *,
     suffix: bool = False, scheme: str | None = None, mode: str | None = None,
-    zero_division: int | str = "warn",
+    weight: str | None = None, zero_division: int | str = "warn",
 ) -> DataFrame:
     """``type, precision, recall, f1, number`` per entity type and, as ``overall``,
     over all chunks.
 
     Strict matching needs ``mode="strict"`` and a scheme. ``zero_division``
     (0, 1 or "warn", which counts as 0) fills scores with an empty denominator.
+    ``weight`` names a column of row weights; chunks are counted whole in these
+    scores, so it is accepted but changes none of them.
     """
+    if weight is not None and weight not in df.columns:
+        raise ValueError(f"no column {weight}")
     if mode not in (None, "strict"):
         raise ValueError("mode must be None or 'strict'")
     fill = 0 if zero_division == "warn" else zero_division

@@ -11,6 +11,16 @@ from .lookup import lookup_join
 UNLABELLED = "-1"
 
 
+def sequence_columns(
+    df: DataFrame, task: str, text: str | None = None, label: str | None = None
+) -> tuple[str, str]:
+    """Names of the word and the tag column: as given, else ``tokens`` and
+    ``<task>_tags``, else the first two columns."""
+    text = text or ("tokens" if "tokens" in df.columns else df.columns[0])
+    tags = f"{task}_tags"
+    return text, label or (tags if tags in df.columns else df.columns[1])
+
+
 def distinct_labels(df: DataFrame, column: str) -> DataFrame:
     """``(label)``: distinct values of a label column or of the lists in it, as strings."""
     is_list = isinstance(df.schema[column].dataType, ArrayType)

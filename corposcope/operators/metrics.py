@@ -78,7 +78,7 @@ def label_counts(
 
 def f1(
     df: DataFrame, predicted: str, reference: str, *,
-    average: str | None = "binary", labels: list[int] | None = None, pos_label: int = 1,
+    average: str | None = "binary", labels: list | None = None, pos_label: int | str = 1,
     weight: str | None = None, by: tuple[str, ...] = (),
 ) -> DataFrame:
     """F1 score; ``average=None`` gives one row per label. A label that is
@@ -93,8 +93,9 @@ def f1(
     if labels is not None:
         counts = counts.where(F.col("label").isin(labels))
         if not by:
-            absent = df.sparkSession.createDataFrame(
-                [(l, 0.0, 0.0, 0.0) for l in labels], "label int, tp double, n_pred double, n_ref double"
+            kind = counts.schema["label"].dataType
+            absent = df.sparkSession.createDataFrame([(str(l),) for l in labels], "label string").select(
+                F.col("label").cast(kind), *[F.lit(0.0).alias(c) for c in ("tp", "n_pred", "n_ref")]
             )
             counts = counts.unionByName(absent).groupBy("label").agg(
                 F.sum("tp").alias("tp"), F.sum("n_pred").alias("n_pred"), F.sum("n_ref").alias("n_ref")

@@ -17,7 +17,7 @@ from ..functions.keys import bucket_of, hash_key
 from ..session import durable, new_path
 
 # Buckets are kept below this many rows by choosing their number from a count.
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 100_000
 # Up to this many rows a head-of-order selection is a plain top-n.
 TOP_N_ROWS = 10_000
 

@@ -74,12 +74,12 @@ def reported_runs(df: DataFrame, run: str = "run") -> DataFrame:
     return df.where(~F.contains(run, F.lit("debug")) & (F.col("model") != "none-all"))
 
 
-def mean_and_std(df: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
+def mean_and_std(df: DataFrame, metrics: list[str] = METRICS, digits: int = 2) -> DataFrame:
     """Mean and population standard deviation of each metric x 100 per model and corpus."""
     cells = []
     for m in metrics:
-        cells.append(F.round(F.avg(m) * 100, 2).alias(f"{m}_mean"))
-        cells.append(F.round(F.stddev_pop(m) * 100, 2).alias(f"{m}_std"))
+        cells.append(F.round(F.avg(m) * 100, digits).alias(f"{m}_mean"))
+        cells.append(F.round(F.stddev_pop(m) * 100, digits).alias(f"{m}_std"))
     return df.groupBy("model", "corpus").agg(*cells)
 
 

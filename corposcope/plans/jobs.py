@@ -70,13 +70,13 @@ def prepare_training(
     A.write_splits(masked, target)
 
 
-def score_report(records: DataFrame) -> DataFrame:
+def score_report(records: DataFrame, digits: int = 2) -> DataFrame:
     """Raw records with a ``run`` and metric columns to the table of models by
     corpora with both averages."""
     scores = R.headline_scores(R.reported_runs(R.parse_run_names(records)))
-    table = R.pivot_scores(scores)
+    table = R.pivot_scores(scores, digits)
     return (
         table.join(R.dataset_average(scores), "model", "left")
         .join(R.task_average(scores), "model", "left")
-        .withColumns({c: F.round(c, 2) for c in ("dataset_average", "task_average")})
+        .withColumns({c: F.round(c, digits) for c in ("dataset_average", "task_average")})
     )

@@ -11,9 +11,12 @@ from ..sources import records as RS
 from . import jobs
 from .registry import ctes, query
 from .tables import (
-    CORPORA, RECORDS, REPORTED_MODELS, RUNS, SCORED_ALL, run_records, run_results, scored, table,
+    RECORDS, REPORTED_MODELS, RUNS, SCORED_ALL, run_records, run_results, scored, table,
 )
 
+# The tables show two digits; here more are kept, so that no value lies halfway between two roundings.
+DIGITS = 8
+
 # --- files ------------------------------------------------------------------
 
 _LONG = """
@@ -140,12 +143,12 @@ def display_names(spark, folder):
 
 
 @query("mean_and_std", ctes(RECORDS, RUNS) + """
-    SELECT model, corpus, round(avg(accuracy) * 100, 2) AS accuracy_mean, round(stddev_pop(accuracy) * 100, 2) AS accuracy_std,
-      round(avg(f1) * 100, 2) AS f1_mean, round(stddev_pop(f1) * 100, 2) AS f1_std,
-      round(avg(pearsonr) * 100, 2) AS pearsonr_mean, round(stddev_pop(pearsonr) * 100, 2) AS pearsonr_std
+    SELECT model, corpus, round(avg(accuracy) * 100, 8) AS accuracy_mean, round(stddev_pop(accuracy) * 100, 8) AS accuracy_std,
+      round(avg(f1) * 100, 8) AS f1_mean, round(stddev_pop(f1) * 100, 8) AS f1_std,
+      round(avg(pearsonr) * 100, 8) AS pearsonr_mean, round(stddev_pop(pearsonr) * 100, 8) AS pearsonr_std
     FROM runs GROUP BY model, corpus""")
 def mean_and_std(spark, folder):
-    return R.mean_and_std(run_results(spark, folder))
+    return R.mean_and_std(run_results(spark, folder), digits=DIGITS)
 
 
 _HEADLINE = """
@@ -196,7 +199,7 @@ def task_average(spark, folder):
 # --- tables -----------------------------------------------------------------
 
 _WIDE_COLUMNS = ", ".join(
-    f"coalesce(CAST(round(max(CASE WHEN corpus = '{c}' THEN performance END), 2) AS VARCHAR), '') AS \"{c}\""
+    f"coalesce(CAST(round(max(CASE WHEN corpus = '{c}' THEN performance END), 8) AS VARCHAR), '') AS \"{c}\""
     for c in R.reported_corpora()
 )
 
@@ -205,11 +208,11 @@ _WIDE_COLUMNS = ", ".join(
     SELECT model, {_WIDE_COLUMNS} FROM headline WHERE corpus IN ({_REPORTED}) GROUP BY model""")
 def score_table(spark, folder):
     """Models by corpora in task order."""
-    return R.pivot_scores(_headline(spark, folder))
+    return R.pivot_scores(_headline(spark, folder), DIGITS)
 
 
 _TURNED_COLUMNS = ", ".join(
-    f"max(CASE WHEN model = '{m}' THEN round(performance, 2) END) AS \"{m}\"" for m in REPORTED_MODELS
+    f"max(CASE WHEN model = '{m}' THEN round(performance, 8) END) AS \"{m}\"" for m in REPORTED_MODELS
 )
 
 
@@ -218,20 +221,20 @@ _TURNED_COLUMNS = ", ".join(
 def score_table_turned(spark, folder):
     """Corpora by models."""
     wide = _headline(spark, folder).where(F.col("corpus").isin(R.reported_corpora()))
-    table = wide.groupBy("model").pivot("corpus", R.reported_corpora()).agg(F.round(F.first("performance"), 2))
+    table = wide.groupBy("model").pivot("corpus", R.reported_corpora()).agg(F.round(F.first("performance"), DIGITS))
     return R.transpose(table, "model", REPORTED_MODELS)
 
 
 @query("score_report", ctes(RECORDS, RUNS, _HEADLINE) + f"""
-    SELECT model, {_WIDE_COLUMNS}, round(sum(performance) / 11, 2) AS dataset_average,
+    SELECT model, {_WIDE_COLUMNS}, round(sum(performance) / 11, 8) AS dataset_average,
       round(sum(performance / (4 * CASE WHEN corpus = 'hoc' THEN 1 WHEN corpus IN ('chemprot', 'ddi-corpus', 'gad') THEN 3
-        WHEN corpus IN ('bioasq-task-b', 'pubmed-qa') THEN 2 ELSE 5 END)), 2) AS task_average
+        WHEN corpus IN ('bioasq-task-b', 'pubmed-qa') THEN 2 ELSE 5 END)), 8) AS task_average
     FROM headline WHERE corpus IN ({_REPORTED}) GROUP BY model""")
 def score_report(spark, folder):
     """Raw records to the table of models by corpora with both averages."""
     records = run_records(spark, folder)
     plain = records.withColumnsRenamed({c: c.replace("predict_", "").replace("overall_", "") for c in records.columns})
-    return jobs.score_report(plain)
+    return jobs.score_report(plain, DIGITS)
 
 
 @query("best_two_models", ctes(RECORDS, RUNS, _HEADLINE) + """
@@ -260,29 +263,28 @@ def model_columns(spark, folder):
 _GRID = f"""
 grid AS (
   SELECT m.model || '_' || c.corpus || '_seed' || s.seed AS run, m.model, c.corpus, s.seed
-  FROM (SELECT DISTINCT split_part(run, '_seed', 1) AS stem, regexp_replace(split_part(run, '_seed', 1), '_[^_]*$', '') AS model
-    FROM records WHERE contains(run, '_hoc_')) m,
-    (SELECT unnest({CORPORA!r}) AS corpus) c, (SELECT unnest(range(6)) AS seed) s)
+  FROM (SELECT DISTINCT model FROM runs) m,
+    (SELECT unnest({list(R.METRIC_OF_CORPUS)!r}) AS corpus) c, (SELECT unnest(range(6)) AS seed) s)
 """
 
 
 def _grid(spark: SparkSession, folder: str) -> DataFrame:
-    """Models that have a run on one corpus, wanted on all of them with six seeds."""
-    runs = run_records(spark, folder).select("run").where(F.contains("run", F.lit("_hoc_")))
-    stem = F.substring_index("run", "_seed", 1)
-    models = runs.select(F.regexp_replace(stem, "_[^_]*$", "").alias("model")).distinct()
-    return R.run_grid(models, CORPORA, 6)
+    """Every reported model on every corpus with six seeds."""
+    models = run_results(spark, folder).select("model").distinct()
+    return R.run_grid(models, list(R.METRIC_OF_CORPUS), 6)
 
 
-@query("run_grid", ctes(RECORDS, _GRID) + "SELECT run, model, corpus, CAST(seed AS INTEGER) AS seed FROM grid")
+@query("run_grid", ctes(RECORDS, RUNS, _GRID) + "SELECT run, model, corpus, CAST(seed AS INTEGER) AS seed FROM grid")
 def run_grid(spark, folder):
     return _grid(spark, folder)
 
 
-@query("missing_runs", ctes(RECORDS, _GRID) + """
-    SELECT run, model, corpus, CAST(seed AS INTEGER) AS seed FROM grid WHERE run NOT IN (SELECT run FROM records)""")
+@query("missing_runs", ctes(RECORDS, RUNS, _GRID) + """
+    SELECT run, model, corpus, CAST(seed AS INTEGER) AS seed FROM grid
+    WHERE run NOT IN (SELECT model || '_' || corpus || '_seed' || seed FROM runs)""")
 def missing_runs(spark, folder):
-    return R.missing_runs(_grid(spark, folder), run_records(spark, folder))
+    name = F.format_string("%s_%s_seed%d", "model", "corpus", "seed")
+    return R.missing_runs(_grid(spark, folder), run_results(spark, folder).select(name.alias("run")))
 
 
 # --- configuration ----------------------------------------------------------

@@ -44,6 +44,12 @@ def test_f1_per_label(spark):
     assert got == {0: pytest.approx(0.8), 1: 0.0, 2: 0.0}
 
 
+def test_f1_of_text_labels(spark):
+    df = rows(spark, ["a", "b", "b"], ["a", "b", "a"], schema="p string, r string")
+    assert value(M.f1(df, "p", "r", pos_label="b")) == pytest.approx(2 / 3)
+    assert value(M.f1(df, "p", "r", average="macro", labels=["a", "z"])) == pytest.approx(1 / 3)
+
+
 def test_f1_multilabel(spark):
     df = rows(spark, [[0, 1, 1], [1, 1, 0]], [[0, 1, 1], [0, 1, 0]], schema="p array<int>, r array<int>")
     assert round(value(M.f1(df, "p", "r", average="macro")), 2) == 0.67

@@ -159,6 +159,14 @@ def test_inside_ids(spark):
     assert got == {"B-X": (0, 2), "B-Y": (1, 1), "I-X": (2, 2), "O": (3, 3)}
 
 
+def test_sequence_columns(spark):
+    first = spark.sql("select array('a') words, array(1) tags")
+    named = spark.sql("select 1 id, array('a') tokens, array(1) ner_tags")
+    assert L.sequence_columns(first, "ner") == ("words", "tags")
+    assert L.sequence_columns(named, "ner") == ("tokens", "ner_tags")
+    assert L.sequence_columns(named, "ner", label="id") == ("tokens", "id")
+
+
 def test_join_text_keeps_nulls_visible(spark):
     df = spark.createDataFrame([("a", "b"), ("a", None)], "q string, c string")
     got = [r[0] for r in df.select(TX.join_text(F.col("q"), F.col("c"), delimiter="[SEP]")).collect()]
