@@ -34,16 +34,18 @@ def h_index_by_issn(rows: DataFrame) -> DataFrame:
     return first.groupBy("issn").agg(F.min_by("h_index", "year").alias("h_index"))
 
 
-def journal_profiles(sjr: DataFrame, h_index: DataFrame) -> DataFrame:
-    """One row per ISSN: its h-index and ``metrics``, an array of (year, sjr).
+def journal_profiles(rows: DataFrame) -> DataFrame:
+    """One row per ISSN: its first h-index and ``metrics``, an array of (year, sjr).
 
-    ``sjr`` has one row per ISSN and year, so an array is as long as the number
-    of calendar years on file.
+    Two aggregates over the rank rows. An ISSN has one entry per year, so an
+    array is as long as the number of calendar years on file.
     """
-    metrics = sjr.groupBy("issn").agg(
-        F.sort_array(F.collect_list(F.struct("year", "sjr"))).alias("metrics")
+    listed = first_per_year(rows)
+    ranked_year = F.when(F.col("h_index").isNotNull(), F.col("year"))
+    return listed.groupBy("issn").agg(
+        F.min_by("h_index", ranked_year).alias("h_index"),
+        F.sort_array(F.collect_list(F.struct("year", "sjr"))).alias("metrics"),
     )
-    return h_index.join(metrics, "issn")
 
 
 def stack_years(earlier: DataFrame, later: DataFrame) -> DataFrame:

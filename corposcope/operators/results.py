@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .scoring import BANDS, Band
 
 # Metric columns of a result record.
 METRICS = ["accuracy", "f1", "pearsonr"]
@@ -50,22 +49,12 @@ def parse_run_names(df: DataFrame, run: str = "run") -> DataFrame:
     name = F.replace(F.col(run), F.lit("ncbi_disease"), F.lit("ncbi-disease"))
     name = F.replace(name, F.lit("blurb-"), F.lit(""))
     name = F.regexp_replace(name, "_ckpt-[0-9]*", "")
-    # Only the names of base models have no underscore inside the model.
-    first = F.locate("_", F.col("_name"))
-    joined = F.concat(F.expr("left(_name, instr(_name, '_') - 1)"), F.lit("-"), F.expr("substring(_name, instr(_name, '_') + 1)"))
-    fixed = F.when(F.contains("_name", F.lit("bert-base")) | (first == 0), F.col("_name")).otherwise(joined)
-    parts = F.split("_name", "_")
-    return (
-        df.withColumn("_name", name)
-        .withColumn("_name", fixed)
-        .withColumns(
-            {
-                "model": F.get(parts, F.lit(0)),
-                "corpus": F.get(parts, F.lit(1)),
-                "seed": F.replace(F.get(parts, F.lit(2)), F.lit("seed"), F.lit("")).try_cast("int"),
-            }
-        )
-        .drop("_name")
+    # All models but the base ones have an underscore in their name.
+    joined = F.regexp_replace(name, "^([^_]*)_", "$1-")
+    parts = F.split(F.when(F.contains(run, F.lit("bert-base")), name).otherwise(joined), "_")
+    seed = F.replace(F.get(parts, F.lit(2)), F.lit("seed"), F.lit("")).try_cast("int")
+    return df.withColumns(
+        {"model": F.get(parts, F.lit(0)), "corpus": F.get(parts, F.lit(1)), "seed": seed}
     )
 
 
@@ -189,10 +178,6 @@ def missing_runs(grid: DataFrame, finished: DataFrame) -> DataFrame:
     return grid.join(finished.select("run").distinct(), "run", "left_anti")
 
 
-def band_experiments(bands: list[Band] = BANDS) -> list[str]:
-    return [b.label for b in bands]
-
-
 def loss_curve(log: DataFrame) -> DataFrame:
     """``run, step, loss`` from log rows, taking ``train_loss`` where there is no ``loss``."""
     return with_loss(log).where("loss is not null")

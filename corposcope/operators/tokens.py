@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.arrays import IGNORED, fixed_length
 from ..functions.keys import hash_key
 from ..functions.pieces import piece_mapper
+from ..session import staged
 from .lookup import BROADCAST_BYTES, lookup_join, measured_bytes
 from .ordering import with_ordinal, with_sorted_ordinal
 
@@ -48,6 +49,7 @@ def piece_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
     """
     clean = F.regexp_replace(F.lower(text), r"([^\p{L}\p{N}])", " $1 ")
     counts = word_counts(df.select(clean.alias("text"))).where("word <> '' and word rlike '^\\\\S+$'")
+    counts = staged(counts, "words")
     top = counts.orderBy(F.desc("n"), "word").limit(size).select("word", "n")
     chars = counts.select(F.explode_outer(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
     specials = F.array(*[F.struct(F.lit(p).alias("piece"), F.lit(i).cast("long").alias("at")) for i, p in enumerate(SPECIAL_PIECES)])
@@ -218,7 +220,8 @@ def pack_shuffled(
 
     Positions come from buckets of the hash key. A batch that lies inside one
     bucket is packed in place; only the batches that straddle two buckets, one
-    per bucket boundary, move again.
+    per bucket boundary, move again. ``df`` is read twice for its keys and once
+    for its arrays, so pass a stored table.
     """
     names = [c for c in fills if c in df.columns]
     placed = with_ordinal(df.select(key, *names), key, seed=seed, digits=digits, keep_bucket=True)

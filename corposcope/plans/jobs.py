@@ -20,8 +20,7 @@ def score_files(
 
     Returns the files that were left out because they are broken.
     """
-    rows = J.rank_rows(JS.scan_journal_ranks(spark, rank_files))
-    profiles = J.journal_profiles(J.sjr_by_year(rows), J.h_index_by_issn(rows))
+    profiles = J.journal_profiles(J.rank_rows(JS.scan_journal_ranks(spark, rank_files)))
     scored, broken = score_scanned(A.scan_articles(spark, article_files), profiles)
     A.write_scored(scored, target)
     return broken

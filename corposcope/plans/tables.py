@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.journals import h_index_by_issn, journal_profiles, rank_rows, sjr_by_year
+from ..operators.journals import journal_profiles, rank_rows
 from ..operators.scoring import score_articles
-from ..session import spread
+from ..session import durable, spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -110,8 +110,7 @@ journals AS (SELECT issn, arg_min(h_index, year) AS h_index FROM listed GROUP BY
 
 
 def profiles(spark: SparkSession, folder: str) -> DataFrame:
-    rows = rank_rows(journal_ranks(spark, folder))
-    return journal_profiles(sjr_by_year(rows), h_index_by_issn(rows))
+    return journal_profiles(rank_rows(journal_ranks(spark, folder)))
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,7 +282,8 @@ def run_results(spark: SparkSession, folder: str) -> DataFrame:
     """Parsed and reported runs with one column per metric."""
     from ..operators.results import parse_run_names, reported_runs
 
-    records = run_records(spark, folder)
+    # Written once: otherwise the name filters would run on the events below the aggregate.
+    records = durable(run_records(spark, folder))
     plain = records.withColumnsRenamed(
         {c: c.replace("predict_", "").replace("overall_", "") for c in records.columns}
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import fixed_length, truncated
 from ..operators import tokens as T
+from ..operators.lookup import lookup_join
 from ..operators.scoring import Band
 from ..session import durable, staged
 from . import jobs
@@ -166,7 +167,8 @@ def fixed_length_arrays(spark, folder):
 
 
 def _packable(spark: SparkSession, folder: str) -> DataFrame:
-    ids = word_ids(spark, folder).withColumnRenamed("ids", "_pieces")
+    """Stored word ids with their masks; packing reads them several times."""
+    ids = staged(word_ids(spark, folder), "ids").withColumnRenamed("ids", "_pieces")
     return T.with_masks(ids, "_pieces", cls=2, sep=3).drop("_pieces")
 
 
@@ -243,7 +245,7 @@ _TRAINING = ctes(*SCORED_ALL, WORDS, VOCABULARY, _WORD_IDS) + """,
 def training_rows(spark, folder):
     """Scored articles to token rows: split, metric band on the training part, packing."""
     scores = scored(spark, folder).select(F.col("id").alias("doc_id"), "sjr")
-    tokens = staged(_packable(spark, folder).join(scores, "doc_id"), "tokens")
+    tokens = staged(lookup_join(_packable(spark, folder), scores, "doc_id", "inner"), "tokens")
     band = Band("sjr", 0.759, 100.0, "top50%")
     rows = jobs.training_rows(tokens, "doc_id", length=128, band=band, fraction=0.1, batch_size=64)
     return _packed_report(rows, "split")
