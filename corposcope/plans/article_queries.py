@@ -430,14 +430,12 @@ def split_tables(spark, folder):
     return A.read_splits(spark, path, "validation").select("id", "h_index", "split")
 
 
-@query("reader_shards")
+@query("reader_shards", "SELECT doc_id, n_chars FROM documents")
 def reader_shards(spark, folder):
-    """Rows per written file of 64; the layout is Spark's, so there is no SQL for it."""
+    """A table rewritten as 64 files for parallel readers."""
     path = new_path(spark, "readers")
     A.write_reader_shards(documents(spark, folder).select("doc_id", "n_chars"), path, 64, key="doc_id")
-    return spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.count("*").alias("rows")
-    )
+    return spark.read.parquet(path)
 
 
 @query("new_shards", """
@@ -454,45 +452,42 @@ def new_shards(spark, folder):
     return A.new_files(files, done)
 
 
-@query("scored_from_files", ctes(*SCORED_ALL) + """
-    SELECT id, text, h_index, sjr, random FROM scored""")
-def scored_from_files(spark, folder):
-    """Compressed article files to scored articles in one job."""
+def _article_files(spark: SparkSession, folder: str) -> str:
+    """The articles as compressed files in the nested shape."""
     a = articles(spark, folder)
-    nested = a.select(
-        F.struct(
-            F.col("id").cast("string").alias("PMID"),
-            F.struct(F.col("year").cast("string").alias("Year")).alias("DateCompleted"),
-            F.struct(
-                F.struct("issn").alias("Journal"),
-                F.struct(F.array("abstract").alias("AbstractText")).alias("Abstract"),
-                F.col("title").alias("ArticleTitle"),
-                F.array("language").alias("Language"),
-            ).alias("Article"),
-        ).alias("MedlineCitation")
+    article = F.struct(
+        F.struct(F.col("issn").alias("ISSN")).alias("Journal"),
+        F.struct(F.array("abstract").alias("AbstractText")).alias("Abstract"),
+        F.col("title").alias("ArticleTitle"),
+        F.array("language").alias("Language"),
     )
-    nested = nested.select(
-        F.col("MedlineCitation").cast(
-            "struct<PMID:string,DateCompleted:struct<Year:string>,Article:struct<Journal:struct<ISSN:string>,"
-            "Abstract:struct<AbstractText:array<string>>,ArticleTitle:string,Language:array<string>>>"
-        ).alias("MedlineCitation")
+    citation = F.struct(
+        F.col("id").cast("string").alias("PMID"),
+        F.struct(F.col("year").cast("string").alias("Year")).alias("DateCompleted"),
+        article.alias("Article"),
     )
-    scanned = A.scan_articles(spark, _write_xml(nested, "articles"))
+    return _write_xml(a.select(citation.alias("MedlineCitation")), "articles")
+
+
+_SCORED = ctes(*SCORED_ALL) + "SELECT id, text, h_index, sjr, random FROM scored"
+
+
+@query("scored_from_files", _SCORED)
+def scored_from_files(spark, folder):
+    """Compressed article files to scored articles in one job."""
+    scanned = A.scan_articles(spark, _article_files(spark, folder))
     rows, _ = score_scanned(scanned, profiles(spark, folder))
     return rows.drop("shard")
 
 
-@query("scored_from_stream")
+@query("scored_from_stream", _SCORED)
 def scored_from_stream(spark, folder):
     """The same through the streaming source, run until no new file is left."""
     root = new_path(spark, "intake")
-    source = _write_xml(raw_articles(spark, folder), "articles")
-    run = start_intake(spark, source, profiles(spark, folder), f"{root}/out", f"{root}/state")
-    run.awaitTermination()
-    schema = f"{A.SCORED_SCHEMA}, batch string, shard string"
-    return spark.read.schema(schema).json(f"{root}/out/scored").select(
-        "id", "text", "h_index", "sjr", "random"
-    )
+    source = _article_files(spark, folder)
+    start_intake(spark, source, profiles(spark, folder), f"{root}/out", f"{root}/state").awaitTermination()
+    rows = spark.read.schema(f"{A.SCORED_SCHEMA}, batch string, shard string").json(f"{root}/out/scored")
+    return rows.select("id", "text", "h_index", "sjr", "random")
 
 
 # --- figures ----------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from ..operators import ordering as O
 from .registry import ctes, query
 from .tables import ORDERED, table

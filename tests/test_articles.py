@@ -157,6 +157,14 @@ def test_files_to_shards(spark, source, tmp_path):
     assert rows[18]["text"] == "T\nPlain."
 
 
+def test_reader_shards_layout(spark, tmp_path):
+    A.write_reader_shards(spark.range(20_000), str(tmp_path / "out"), 64, key="id")
+    table = spark.read.parquet(str(tmp_path / "out"))
+    per_file = [r["count"] for r in table.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert len(per_file) == 64 and sum(per_file) == 20_000
+    assert max(per_file) < 2 * min(per_file)
+
+
 def test_intake_takes_each_file_once(spark, source, tmp_path):
     profiles = spark.sql("select '1234567X' issn, 40 h_index, array(struct(2000 as year, 1.25D as sjr)) metrics")
     target, state = str(tmp_path / "out"), str(tmp_path / "state")
