@@ -180,3 +180,22 @@ def test_intake_takes_each_file_once(spark, source, tmp_path):
     write(source / "bad0003.xml.gz", "<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>5")
     assert run() == [17, 18, 19, 20]
     assert spark.read.schema("file string").json(f"{target}/quarantine").count() == 1
+
+
+def test_scored_shards_to_training_rows(spark, tmp_path):
+    rows = [(i, f"word{i % 7} other text {i}", i % 300, (i % 20) / 10, i / 200, "s1") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string, h_index int, sjr double, random double, shard string")
+    A.write_scored(df, str(tmp_path / "scored"))
+    pieces = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]", "word", "other", "text", *"0123456789", *[f"##{d}" for d in range(10)]]
+    vocab = spark.createDataFrame([(p, i) for i, p in enumerate(pieces)], "piece string, id int")
+    jobs.prepare_training(
+        spark, str(tmp_path / "scored"), vocab, str(tmp_path / "rows"), length=16,
+        band=S.Band("sjr", 0.759, 100.0, "top50%"), fraction=0.1, mask_id=4, vocab_size=len(pieces),
+    )
+    validation = A.read_splits(spark, str(tmp_path / "rows"), "validation")
+    both = A.read_splits(spark, str(tmp_path / "rows"))
+    assert {len(r["input_ids"]) for r in both.collect()} == {16}
+    starts = both.groupBy("split").agg(F.sum(F.size(F.filter("input_ids", lambda t: t == 2))).alias("n"))
+    counts = {r["split"]: r["n"] for r in starts.collect()}
+    # Twenty documents are held out; of the others those inside the band remain.
+    assert validation.count() > 0 and 15 <= counts["validation"] <= 25 and 80 <= counts["train"] <= 140
