@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, language, mixing, packing, simhash
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,27 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = language.fit(docs.where(~language.held_out()))
+    found = language.with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_simhash_dedup")
+def simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, folder))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id", "links")
+
+
+@query("op4_pack_documents")
+def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack_documents(documents(spark, folder), packing.tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query("op5_mix_sources")
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     sized = mixing.with_sizes(documents(spark, folder)).select("doc_id", "source", "size")
