@@ -98,7 +98,8 @@ def exact_duplicates(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Data
     groups = named.groupBy("n_bytes", "name").agg(
         F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("_keep")
     )
-    return named.join(groups, ["n_bytes", "name"]).select(
+    # Stored, so that the join can split the rows of a large group over tasks.
+    return named.join(stored(groups, "groups"), ["n_bytes", "name"]).select(
         "doc_id",
         F.col("_keep.doc_id").alias("keep_id"),
         "group_size",
