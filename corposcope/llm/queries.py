@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, language, mixing, packing, simhash
+from . import exact_dedup, language, licences, mixing, packing, secrets, simhash, sketches, substring_dedup, toxicity
 from .common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query("op2_licence_scan")
+def licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan_licences(documents(spark, folder).select("doc_id", "text"))
+
+
 @query("op3_simhash_dedup")
 def simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder))
@@ -64,3 +69,55 @@ def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 )
 def exact_dedup_(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
+
+
+@query("op6_fingerprints")
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.compare_edits(documents(spark, folder))
+
+
+@query("op7_secret_scan")
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.with_secrets(documents(spark, folder).select("doc_id", "text"))
+
+    def of(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "entropy")
+    return found.select(
+        "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+        F.sha2(secrets.spelled(base), 256).alias("base_sha256"), secrets.spelled("secrets").alias("spans"),
+    )
+
+
+@query(
+    "op8_substring_dedup",
+    """
+    WITH texts AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), windows AS (
+      SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM texts)
+    ), repeated AS (
+      SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY k) AS least FROM windows) WHERE least < doc_id
+    ), gone AS (
+      SELECT doc_id, list(DISTINCT p + i) AS places FROM repeated, (SELECT unnest(range(0, 13)) AS i) GROUP BY doc_id
+    ), kept AS (
+      SELECT doc_id, ws, [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(coalesce(places, []), i)] AS ks
+      FROM texts LEFT JOIN gone USING (doc_id)
+    )
+    SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - len(ks))::BIGINT AS n_removed, sha256(coalesce(array_to_string(ks, ' '), '')) AS kept_sha256
+    FROM kept
+    """,
+)
+def substring_dedup_(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(documents(spark, folder))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op10_toxicity")
+def toxicity_(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    learnt = toxicity.fit(docs.where(~toxicity.held_out()), labels.where(~toxicity.held_out()))
+    return toxicity.with_toxicity(docs, learnt).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
