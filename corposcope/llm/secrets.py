@@ -62,14 +62,14 @@ def window_entropies(text: str, width: int = WINDOW) -> list[float]:
     counts: dict[str, int] = {}
     total, out = 0.0, []
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        total += logs[n + 1] - logs[n]
-        counts[c] = n + 1
         if i >= width:
             gone = text[i - width]
             n = counts[gone]
             total += logs[n - 1] - logs[n]
             counts[gone] = n - 1
+        n = counts.get(c, 0)
+        total += logs[n + 1] - logs[n]
+        counts[c] = n + 1
         if i >= width - 1:
             out.append(float(np.log2(width)) - total / width)
     return out
