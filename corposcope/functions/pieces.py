@@ -1,17 +1,25 @@
-"""Word-piece matching for one text: the per-row helper behind ``operators.tokens.tokenise``."""
+"""Word-piece matching of whole Arrow batches: the helper behind ``operators.tokens.tokenise``.
+
+The work follows the distinct chunks of a batch: texts are split and counted by Arrow, only chunks that
+were not seen before are matched, and their ids are laid out by position.
+"""
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from array import array
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Words longer than this become the unknown piece.
-MAX_WORD = 100
-# Distinct words remembered per task before the memory is started afresh.
+# Distinct chunks remembered per task before the memory is started afresh.
 REMEMBERED = 500_000
 
-_SPECIAL = re.compile(r"(\[(?:PAD|UNK|CLS|SEP|MASK)\])")
+# Pieces that stand for themselves in a text, and characters that are dropped.
+_SPECIAL = re.compile(r"\[(?:PAD|UNK|CLS|SEP|MASK)\]")
+_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}\x{fffd}]+"
 
 
 def _is_cjk(ch: str) -> bool:
@@ -26,7 +34,7 @@ def _is_mark(ch: str) -> bool:
 
 def words_of(chunk: str) -> list[str]:
     """A whitespace-free chunk as lower-case words without accents; punctuation
-    and ideographs stand alone."""
+    and ideographs stand alone, control, unassigned and private characters go."""
     text = chunk.lower()
     if not text.isascii():
         text = "".join(c for c in unicodedata.normalize("NFD", text) if unicodedata.category(c) != "Mn")
@@ -34,21 +42,18 @@ def words_of(chunk: str) -> list[str]:
         return [text]
     spaced = []
     for ch in text:
-        kind = unicodedata.category(ch)
-        if kind in ("Cc", "Cf") or ch == "�":
+        if unicodedata.category(ch)[0] == "C" or ch == "�":
             continue
         alone = _is_mark(ch) or (not ch.isascii() and _is_cjk(ch))
         spaced.append(f" {ch} " if alone else ch)
     return "".join(spaced).split()
 
 
-def pieces_of(word: str, vocab: dict[str, int], unknown: int, longest: int = MAX_WORD) -> list[int]:
+def pieces_of(word: str, vocab: dict[str, int], unknown: int, longest: int) -> list[int]:
     """Greedy longest match from the left; later pieces carry the ``##`` prefix.
 
     No piece is longer than ``longest``.
     """
-    if len(word) > MAX_WORD:
-        return [unknown]
     ids, start = [], 0
     while start < len(word):
         mark = "##" if start else ""
@@ -63,30 +68,45 @@ def pieces_of(word: str, vocab: dict[str, int], unknown: int, longest: int = MAX
     return ids
 
 
-def piece_mapper(vocab: dict[str, int], unknown: str = "[UNK]") -> Callable[[str], list[int]]:
-    """A function from text to piece ids that remembers the chunks it has seen."""
-    unknown_id = vocab[unknown]
-    longest = max(map(len, vocab))
-    seen: dict[str, list[int]] = {}
-
-    def chunk_ids(chunk: str) -> list[int]:
-        ids = seen.get(chunk)
-        if ids is None:
-            if len(seen) >= REMEMBERED:
-                seen.clear()
-            ids = [i for word in words_of(chunk) for i in pieces_of(word, vocab, unknown_id, longest)]
-            seen[chunk] = ids
-        return ids
-
-    def text_ids(text: str) -> list[int]:
-        out: list[int] = []
-        parts = _SPECIAL.split(text) if "[" in text else [text]
-        for part in parts:
-            if part in vocab and _SPECIAL.fullmatch(part):
-                out.append(vocab[part])
-                continue
-            for chunk in part.split():
-                out += chunk_ids(chunk)
-        return out
-
-    return text_ids
+class PieceIds:
+    """A function from an array of texts to an array of their piece ids."""
+
+    def __init__(self, vocab: dict[str, int], unknown: str = "[UNK]"):
+        self.vocab, self.unknown = vocab, vocab[unknown]
+        self.longest = max(map(len, vocab))
+        self.forget()
+
+    def forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.begins, self.sizes, self.ids = array("q"), array("q"), array("i")
+
+    def chunk(self, chunk: str) -> list[int]:
+        if chunk in self.vocab and _SPECIAL.fullmatch(chunk):
+            return [self.vocab[chunk]]
+        return [i for word in words_of(chunk) for i in pieces_of(word, self.vocab, self.unknown, self.longest)]
+
+    def row(self, chunk: str) -> int:
+        found = self.rows.get(chunk)
+        if found is None:
+            found = self.rows[chunk] = len(self.sizes)
+            ids = self.chunk(chunk)
+            self.begins.append(len(self.ids))
+            self.sizes.append(len(ids))
+            self.ids.extend(ids)
+        return found
+
+    def __call__(self, texts: pa.Array) -> pa.ListArray:
+        if len(self.rows) > REMEMBERED:
+            self.forget()
+        texts = pc.replace_substring_regex(pc.fill_null(texts, ""), _CONTROLS, "")
+        texts = pc.replace_substring_regex(texts, f"({_SPECIAL.pattern})", r" \1 ")
+        parts = pc.utf8_split_whitespace(texts)
+        coded = parts.flatten().dictionary_encode()
+        rows = np.array([self.row(c) for c in coded.dictionary.to_pylist()], np.int64)
+        row = rows[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = np.array(self.sizes, np.int64)[row]
+        stops = np.concatenate([[0], np.cumsum(sizes)])
+        picks = np.repeat(np.array(self.begins, np.int64)[row] - stops[:-1], sizes) + np.arange(stops[-1])
+        ends = parts.offsets.to_numpy()
+        offsets = stops[ends - ends[0]].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.array(self.ids, np.int32)[picks]))

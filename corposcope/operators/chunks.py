@@ -213,16 +213,12 @@ def entity_scores(
     if fill not in (0, 1):
         raise ValueError("zero_division must be 0, 1 or 'warn'")
     counts = chunk_counts(df, predicted, reference, suffix=suffix, scheme=scheme, strict=mode == "strict")
-    both = counts.rollup("type").agg(
-        F.sum("tp").alias("tp"), F.sum("n_pred").alias("n_pred"), F.sum("n_ref").alias("n_ref"),
-        F.grouping("type").alias("_all"),
-    )
+    # Aggregated without grouping, the overall row is there even if no side has a chunk.
+    none = F.lit(0).cast("long")
+    overall = counts.agg(*[F.coalesce(F.sum(c), none).alias(c) for c in ("tp", "n_pred", "n_ref")])
+    both = counts.unionByName(overall.withColumn("type", F.lit("overall")))
     scores = _scores(fill)
-    return both.select(
-        F.when(F.col("_all") == 1, "overall").otherwise(F.col("type")).alias("type"),
-        *[c.alias(n) for n, c in scores.items()],
-        F.col("n_ref").alias("number"),
-    )
+    return both.select("type", *[c.alias(n) for n, c in scores.items()], F.col("n_ref").alias("number"))
 
 
 def tag_accuracy(df: DataFrame, predicted: str, reference: str) -> DataFrame:
@@ -232,10 +228,22 @@ def tag_accuracy(df: DataFrame, predicted: str, reference: str) -> DataFrame:
     return counts.select(F.try_divide("hits", "tags").alias("accuracy"))
 
 
-def flat_scores(scores: DataFrame) -> DataFrame:
-    """``(metric, value)`` with one ``type_metric`` row per score."""
+def flat_scores(scores: DataFrame, accuracy: DataFrame | None = None) -> DataFrame:
+    """``(metric, value)`` with one ``type_metric`` row per score, and ``overall_accuracy``
+    where the table of ``tag_accuracy`` is given. The overall row has no number."""
     names = ["precision", "recall", "f1", "number"]
     cells = F.array(
         *[F.struct(F.lit(n).alias("m"), F.col(n).cast("double").alias("value")) for n in names]
     )
-    return scores.select("type", F.inline(cells)).select(F.concat_ws("_", "type", "m").alias("metric"), "value")
+    rows = scores.select("type", F.inline(cells)).where("type <> 'overall' or m <> 'number'")
+    flat = rows.select(F.concat_ws("_", "type", "m").alias("metric"), "value")
+    if accuracy is None:
+        return flat
+    return flat.unionByName(accuracy.select(F.lit("overall_accuracy").alias("metric"), F.col("accuracy").alias("value")))
+
+
+def overall_scores(scores: DataFrame, accuracy: DataFrame) -> DataFrame:
+    """The four-value form ``(metric, value)``: precision, recall and f1 over all chunks, and tag accuracy."""
+    cells = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in ("precision", "recall", "f1")])
+    rows = scores.where("type = 'overall'").select(F.inline(cells))
+    return rows.unionByName(accuracy.select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")))

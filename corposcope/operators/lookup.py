@@ -1,57 +1,17 @@
-"""Equi joins against a smaller side whose size is measured before it is broadcast."""
+"""Equi joins of rows with a dimension."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-from ..session import durable
-
-# Largest side that is shipped whole to every executor.
-BROADCAST_BYTES = 64 << 20
-# Pieces a hot key is cut into when the side does not fit.
-SALTS = 32
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of a table: texts by their length, nested values by their JSON form,
-    everything else as one word, and one word per field for the layout."""
-
-    def field_bytes(name: str, kind: str):
-        if kind in ("string", "binary"):
-            return F.coalesce(F.octet_length(name), F.lit(0)) + 8
-        if kind in ("array", "map", "struct"):
-            return F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) + 8
-        return F.lit(16)
-
-    total = sum((field_bytes(f.name, f.dataType.typeName()) for f in df.schema.fields), F.lit(8))
-    return int(df.agg(F.sum(total.cast("long")).alias("b")).first()["b"] or 0)
+from pyspark.sql import DataFrame
 
 
 def lookup_join(
-    df: DataFrame,
-    side: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    *,
-    spread: list[str] | None = None,
-    stored: bool = False,
-    limit: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    df: DataFrame, side: DataFrame, on: str | list[str], how: str = "left", *, shuffled: bool = False
 ) -> DataFrame:
-    """Join ``df`` with ``side`` on equal keys without letting a hot key pile up.
+    """Join ``df`` with ``side``, whose keys are unique, keeping the rows of ``df``.
 
-    ``side`` is written once, unless it is already ``stored``, and measured. Up to ``limit`` bytes it is broadcast,
-    so ``df`` is never shuffled. Beyond that each row of ``df`` gets a salt
-    derived from its ``spread`` columns and ``side`` is repeated per salt, so a
-    key that holds a third of the rows still lands in ``salts`` tasks. The
-    result is the same either way. ``how`` may be any join that keeps the rows
-    of ``df`` in place (inner, left, left_semi, left_anti).
+    Spark broadcasts a side that it knows to be small; otherwise both sides are shuffled, and
+    adaptive execution splits the partition of a key that holds many rows. ``shuffled`` asks for that way.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    side = side if stored else durable(side)
-    if measured_bytes(side) <= limit:
-        return df.join(F.broadcast(side), keys, how)
-    spread = spread or [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return df.join(side.hint("merge") if shuffled else side, keys, how)

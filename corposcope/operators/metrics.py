@@ -91,15 +91,14 @@ def f1(
     if average == "binary":
         labels = [pos_label]
     if labels is not None:
-        counts = counts.where(F.col("label").isin(labels))
-        if not by:
-            kind = counts.schema["label"].dataType
-            absent = df.sparkSession.createDataFrame([(str(l),) for l in labels], "label string").select(
-                F.col("label").cast(kind), *[F.lit(0.0).alias(c) for c in ("tp", "n_pred", "n_ref")]
-            )
-            counts = counts.unionByName(absent).groupBy("label").agg(
-                F.sum("tp").alias("tp"), F.sum("n_pred").alias("n_pred"), F.sum("n_ref").alias("n_ref")
-            )
+        # Every group has every asked label, also one that occurs in none of its rows.
+        kind = counts.schema["label"].dataType
+        asked = F.array(*[F.lit(str(l)) for l in labels]).cast(ArrayType(kind))
+        groups = df.select(*by).distinct() if by else df.sparkSession.range(1)
+        absent = groups.select(*by, F.explode(asked).alias("label"), *[F.lit(0.0).alias(c) for c in ("tp", "n_pred", "n_ref")])
+        counts = counts.where(F.col("label").isin(labels)).unionByName(absent).groupBy(*by, "label").agg(
+            F.sum("tp").alias("tp"), F.sum("n_pred").alias("n_pred"), F.sum("n_ref").alias("n_ref")
+        )
     score = _ratio(2 * F.col("tp"), F.col("n_pred") + F.col("n_ref"))
     if average is None:
         return counts.select(*by, "label", score.alias("f1"))
@@ -195,7 +194,8 @@ def pearson(
 ) -> DataFrame:
     """Pearson correlation, with the p-value on request."""
     x, y = F.col(predicted).cast("double"), F.col(reference).cast("double")
-    row = df.groupBy(*by).agg(F.corr(x, y).alias("pearsonr"), F.count("*").alias("_n"))
+    both = F.count_if(x.isNotNull() & y.isNotNull())
+    row = df.groupBy(*by).agg(F.corr(x, y).alias("pearsonr"), both.alias("_n"))
     if pvalue:
         row = row.withColumn("p_value", pearson_pvalue("pearsonr", "_n"))
     return row.drop("_n")

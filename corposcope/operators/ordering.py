@@ -18,17 +18,11 @@ from ..session import durable, new_path
 
 # Buckets are kept below this many rows by choosing their number from a count.
 ROWS_PER_BUCKET = 100_000
-# Up to this many rows a head-of-order selection is a plain top-n.
-TOP_N_ROWS = 10_000
 
 
 def digits_for(rows: int) -> int:
-    """Hex digits that keep the expected bucket below ``ROWS_PER_BUCKET`` rows.
-
-    At most five, so that the table of bucket counts stays near a million rows.
-    """
-    wanted = math.ceil(math.log(max(rows / ROWS_PER_BUCKET, 1), 16))
-    return min(max(wanted, 1), 5)
+    """Hex digits that keep the expected bucket below ``ROWS_PER_BUCKET`` rows."""
+    return max(math.ceil(math.log(max(rows / ROWS_PER_BUCKET, 1), 16)), 1)
 
 
 def _digits(df: DataFrame, key: str, digits: int | None) -> int:
@@ -41,14 +35,20 @@ def with_order_key(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def bucket_starts(keyed: DataFrame, digits: int) -> DataFrame:
-    """``(_bucket, _rows, _start)``; the running sum sees one row per bucket only."""
+    """``(_bucket, _rows, _start)``.
+
+    The running sum has two levels: over the buckets that share the first half of their
+    digits, and over those halves. Neither window sees more rows than the root of the number of buckets.
+    """
     counts = (
         keyed.groupBy(bucket_of(F.col("_key"), digits).alias("_bucket"))
         .agg(F.count("*").alias("_rows"))
     )
-    return counts.withColumn(
-        "_start", F.sum("_rows").over(Window.orderBy("_bucket")) - F.col("_rows")
-    )
+    halves = counts.withColumn("_half", bucket_of(F.col("_bucket"), max(digits // 2, 1)))
+    sums = halves.groupBy("_half").agg(F.sum("_rows").alias("_all"))
+    first = sums.select("_half", (F.sum("_all").over(Window.orderBy("_half")) - F.col("_all")).alias("_first"))
+    inside = F.sum("_rows").over(Window.partitionBy("_half").orderBy("_bucket")) - F.col("_rows")
+    return halves.join(first, "_half").select("_bucket", "_rows", (F.col("_first") + inside).alias("_start"))
 
 
 def with_ordinal(
@@ -57,8 +57,7 @@ def with_ordinal(
     """Add ``ordinal``, the 0-based position of each row after a seeded shuffle.
 
     ``key`` identifies a row. The counting pass reads only that column; the
-    rows themselves are shuffled once, by bucket. The bucket table has at most
-    ``16**digits`` rows, so broadcasting it is safe by construction.
+    rows themselves are shuffled once, by bucket, and the starts of the buckets join them there.
     """
     digits = _digits(df, key, digits)
     keyed = with_order_key(df, key, seed)
@@ -67,7 +66,7 @@ def with_ordinal(
     ranked = (
         keyed.withColumn("_bucket", bucket_of(F.col("_key"), digits))
         .withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(starts), "_bucket")
+        .join(starts, "_bucket")
         .withColumn("ordinal", F.col("_start") + F.col("_row") - 1)
     )
     if keep_bucket:
@@ -149,20 +148,16 @@ def _check_fraction(fraction: float) -> None:
 
 
 def first_rows(
-    df: DataFrame, n: int, key: str, *, seed: int = 42, digits: int | None = None,
-    top_n_rows: int = TOP_N_ROWS,
+    df: DataFrame, n: int, key: str, *, seed: int = 42, digits: int | None = None
 ) -> DataFrame:
-    """The first ``min(n, rows)`` rows of the seeded order.
+    """The first ``min(n, rows)`` rows of the seeded order, in that order.
 
-    A small ``n`` is a top-n over partitions. A large one becomes a filter
-    against the key of row ``n``, so nothing passes through a single task.
+    A filter against the key of row ``n`` and a distributed sort, so nothing passes through a single task.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     keyed = with_order_key(df, key, seed)
-    if n <= top_n_rows:
-        return keyed.orderBy("_key", key).limit(n).drop("_key")
-    return keyed.where(_before(df, key, F.lit(n), seed, digits)).drop("_key")
+    return keyed.where(_before(df, key, F.lit(n), seed, digits)).orderBy("_key", key).drop("_key")
 
 
 def sample_rows(df: DataFrame, key: str, k: int = 3, *, seed: int = 0) -> DataFrame:
@@ -170,22 +165,33 @@ def sample_rows(df: DataFrame, key: str, k: int = 3, *, seed: int = 0) -> DataFr
     return first_rows(df, k, key, seed=seed)
 
 
+def sorted_table(df: DataFrame, *order: Column, name: str = "sorted") -> DataFrame:
+    """``df`` in a range-partitioned sort, written to the shared folder, with ``_file`` and ``_index``.
+
+    ``_file`` is the number of the written partition and of the file in it, as numbers, so that it orders
+    the files however many there are; ``_index`` is the row's place in its file.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.orderBy(*order).write.parquet(path)
+    found = F.col("_metadata.file_name")
+    number = F.struct(
+        F.regexp_extract(found, r"^part-(\d+)", 1).cast("long").alias("part"),
+        F.regexp_extract(found, r"-c(\d+)", 1).cast("long").alias("piece"),
+    )
+    return spark.read.schema(df.schema).parquet(path).select(
+        "*", number.alias("_file"), F.col("_metadata.row_index").alias("_index")
+    )
+
+
 def with_sorted_ordinal(df: DataFrame, *order: Column, name: str = "ordinal") -> DataFrame:
     """Add the 0-based position of each row under ``order``, for any number of rows.
 
-    The sort is Spark's range-partitioned one, written to the shared folder.
-    File names and row positions inside a file follow the order, so the
+    File numbers and row positions inside a file follow the order, so the
     position is the row's index plus the rows of all earlier files. Ties under
     ``order`` must not exist.
     """
-    spark = df.sparkSession
-    path = new_path(spark, "sorted")
-    df.orderBy(*order).write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path).select(
-        "*",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_index"),
-    )
+    table = sorted_table(df, *order)
     files = table.groupBy("_file").agg(F.count("*").alias("_rows"))
     starts = files.select(
         "_file", (F.sum("_rows").over(Window.orderBy("_file")) - F.col("_rows")).alias("_start")

@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import staged
+from .ordering import sorted_table
 from .cleaning import article_text, normal_issn, valid_articles, with_random_key
-from .lookup import BROADCAST_BYTES, SALTS, lookup_join
+from .lookup import lookup_join
 
 # Column that holds each selectable metric.
 METRIC_COLUMNS = {"sjr": "sjr", "h-index": "h_index", "random": "random"}
@@ -64,7 +64,7 @@ def nearest_year_metric(metrics: Column, year: Column) -> Column:
 
 
 def with_journal_metrics(
-    articles: DataFrame, profiles: DataFrame, *, limit: int = BROADCAST_BYTES, salts: int = SALTS
+    articles: DataFrame, profiles: DataFrame, *, shuffled: bool = False
 ) -> DataFrame:
     """Add ``h_index`` and the nearest-year ``sjr``; unknown journals score 0.
 
@@ -72,7 +72,7 @@ def with_journal_metrics(
     most one row of the dimension, so nothing fans out, and while the dimension
     fits a broadcast the articles stay where they are.
     """
-    joined = lookup_join(articles, profiles, "issn", "left", limit=limit, salts=salts)
+    joined = lookup_join(articles, profiles, "issn", "left", shuffled=shuffled)
     return joined.select(
         *articles.columns,
         F.coalesce("h_index", F.lit(0)).cast("int").alias("h_index"),
@@ -178,36 +178,27 @@ def training_budget(
 
 # Eighths, as percentages.
 PERCENT_STEPS = [12.5, 25.0, 37.5, 50.0, 62.5, 75.0, 87.5]
-# Value ranges the exact percentiles are ranked in.
-RANGES = 256
 
 
 def exact_percentiles(df: DataFrame, column: str, percents: list[float] = PERCENT_STEPS) -> DataFrame:
     """``(pct, value)``: exact percentiles with linear interpolation.
 
     Equal values are counted first, so a value that fills a third of the rows
-    is one row afterwards. The counts are written once, as they are read three
-    times. The distinct values are cut into ranges of about equal size and
-    ranked per range; no task sees all of them.
+    is one row afterwards. The distinct values are sorted by ranges and written;
+    running sums go over the files and inside each, so no task sees all of them.
     """
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(
         F.count("*").alias("n")
     )
-    counts = staged(counts, "values")
-    steps = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    bounds = counts.agg(F.percentile_approx("v", steps, 10_000).alias("b"))
-    ranged = counts.withColumn("_bounds", bounds.scalar()).select(
-        "v", "n", F.size(F.filter("_bounds", lambda b: b <= F.col("v"))).alias("_range")
-    )
-    starts = ranged.groupBy("_range").agg(F.sum("n").alias("_rows")).select(
-        "_range",
-        (F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")).alias("_start"),
+    ranged = sorted_table(counts, F.asc("v"), name="values")
+    starts = ranged.groupBy("_file").agg(F.sum("n").alias("_rows")).select(
+        "_file",
+        (F.sum("_rows").over(Window.orderBy("_file")) - F.col("_rows")).alias("_start"),
         F.sum("_rows").over(Window.partitionBy()).alias("_total"),
     )
-    inside = Window.partitionBy("_range").orderBy("v")
-    placed = ranged.withColumn("_through", F.sum("n").over(inside)).join(
-        F.broadcast(starts), "_range"
-    )
+    inside = Window.partitionBy("_file").orderBy("_index")
+    # One row per written file: bounded by the number of shuffle partitions.
+    placed = ranged.withColumn("_through", F.sum("n").over(inside)).join(F.broadcast(starts), "_file")
     first = F.col("_start") + F.col("_through") - F.col("n")
     wanted = F.array(*[F.lit(float(p)) for p in percents])
 

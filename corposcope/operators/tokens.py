@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from glob import glob
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import IGNORED, fixed_length
 from ..functions.keys import hash_key
-from ..functions.pieces import piece_mapper
-from ..session import staged
-from .lookup import BROADCAST_BYTES, lookup_join, measured_bytes
+from ..functions.pieces import PieceIds
+from ..sources.records import scan_vocabulary
+from .lookup import lookup_join
 from .ordering import with_ordinal, with_sorted_ordinal
 
 # Special pieces, in id order for vocabularies built here.
@@ -40,37 +43,52 @@ def word_vocabulary(df: DataFrame, text: str = "text", first_id: int = len(SPECI
     return ranked.select("word", "n", (F.col("rank") + first_id).alias("word_id"))
 
 
-def piece_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
+def piece_vocabulary(words_of: DataFrame, chars_of: DataFrame, text: str = "text") -> DataFrame:
     """``(piece, id)``: special pieces, every character as a start and as a
-    continuation, then the ``size`` most frequent words.
+    continuation, then the words by falling frequency.
 
-    Stands in for a published piece table when none is at hand. Characters and
-    the word limit keep it small whatever the corpus.
+    Stands in for a published piece table when none is at hand. ``words_of`` is a table of fixed
+    size, all of whose words become pieces; ``chars_of`` is the corpus, whose characters do.
     """
-    clean = F.regexp_replace(F.lower(text), r"([^\p{L}\p{N}])", " $1 ")
-    counts = word_counts(df.select(clean.alias("text"))).where("word <> '' and word rlike '^\\\\S+$'")
-    counts = staged(counts, "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(size).select("word", "n")
-    chars = counts.select(F.explode_outer(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
+    def counted(df: DataFrame) -> DataFrame:
+        clean = F.regexp_replace(F.lower(text), r"([^\p{L}\p{N}])", " $1 ")
+        return word_counts(df.select(clean.alias("text"))).where("word <> '' and word rlike '^\\\\S+$'")
+
+    chars = counted(chars_of).select(F.explode_outer(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
     specials = F.array(*[F.struct(F.lit(p).alias("piece"), F.lit(i).cast("long").alias("at")) for i, p in enumerate(SPECIAL_PIECES)])
     starts = chars.select(F.col("ch").alias("piece"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("at"))
     later = chars.select(F.concat(F.lit("##"), "ch").alias("piece"), F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"))
-    frequent = top.where(F.length("word") > 1).select(
+    frequent = counted(words_of).where(F.length("word") > 1).select(
         F.col("word").alias("piece"), F.lit(3).alias("kind"), (-F.col("n")).alias("at")
     )
-    fixed = df.sparkSession.range(1).select(F.inline(specials)).select("piece", F.lit(0).alias("kind"), "at")
+    fixed = words_of.sparkSession.range(1).select(F.inline(specials)).select("piece", F.lit(0).alias("kind"), "at")
     everything = fixed.unionByName(starts).unionByName(later).unionByName(frequent)
-    # At most specials + 2 * characters + size rows reach this window.
+    # The specials, two rows per character and the words of the fixed table reach this window.
     order = Window.orderBy("kind", "at", "piece")
     return everything.select("piece", (F.row_number().over(order) - 1).cast("int").alias("id"))
 
 
+def write_vocabulary(vocab: DataFrame, path: str) -> None:
+    """A piece table as text, one piece per line in id order; like a published one it is one file."""
+    vocab.orderBy("id").select("piece").coalesce(1).write.text(path)
+
+
 # --- token ids --------------------------------------------------------------
 
 
+def _pieces_in(path: str) -> dict[str, int]:
+    """The lines of a vocabulary file, or of the files of a folder in order, with their numbers."""
+    files = sorted(glob(f"{path}/part-*")) if os.path.isdir(path) else [path]
+    lines: list[str] = []
+    for name in files:
+        with open(name, encoding="utf-8", newline="\n") as file:
+            lines += [line.rstrip("\r\n") for line in file]
+    return {piece: i for i, piece in enumerate(lines)}
+
+
 def tokenise(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: str,
     text: str = "text",
     *,
     max_length: int | None = None,
@@ -79,26 +97,21 @@ def tokenise(
 ) -> DataFrame:
     """Add ``input_ids``, ``token_type_ids``, ``attention_mask`` and ``special_tokens_mask``.
 
-    ``vocab`` is a piece table ``(piece, id)``; it is measured and must fit a
-    broadcast, as every published piece table does (``word_ids`` joins a
-    vocabulary of any size). Only the piece matching runs in Python, on Arrow
+    ``vocab`` is the path of a piece file, one piece per line, which Spark ships to every machine
+    (``word_ids`` joins a vocabulary of any size). Only the piece matching runs in Python, on Arrow
     batches and without a shuffle; the masks are array expressions.
     """
-    if measured_bytes(vocab) > BROADCAST_BYTES:
-        raise ValueError("the piece table is too large to ship to every task; use word_ids")
-    table = {r["piece"]: r["id"] for r in vocab.collect()}
-    shipped = df.sparkSession.sparkContext.broadcast(table)
+    spark = df.sparkSession
+    specials = scan_vocabulary(spark, vocab).where(F.col("piece").isin(SPECIAL_PIECES)).collect()
+    table = {r["piece"]: r["id"] for r in specials}
+    spark.sparkContext.addFile(vocab, recursive=True)
+    name = os.path.basename(vocab.rstrip("/"))
 
     @F.arrow_udf("array<int>")
     def piece_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ids_of = piece_mapper(shipped.value)
+        ids_of = PieceIds(_pieces_in(SparkFiles.get(name)))
         for batch in batches:
-            flat: list[int] = []
-            ends = [0]
-            for text_value in batch.to_pylist():
-                flat += ids_of(text_value or "")
-                ends.append(len(flat))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield ids_of(batch)
 
     pieces = piece_ids(F.col(text))
     return with_masks(
@@ -132,17 +145,9 @@ def with_masks(
 
 
 def word_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", **join) -> DataFrame:
-    """``(key, ids)``: word ids in text order, from a vocabulary of any size.
-
-    A join rather than a map in memory: a vocabulary that fits is broadcast,
-    a larger one meets salted words, so the most frequent word is spread out.
-    The vocabulary is read twice, so pass a stored table.
-    """
+    """``(key, ids)``: word ids in text order, from a vocabulary of any size, by a join."""
     placed = df.select(key, F.posexplode_outer(words(text)).alias("at", "word"))
-    found = lookup_join(
-        placed, vocab.select("word", "word_id"), "word", "inner",
-        spread=[key, "at"], stored=True, **join,
-    )
+    found = lookup_join(placed, vocab.select("word", "word_id"), "word", "inner", **join)
     pairs = F.array_sort(F.collect_list(F.struct("at", "word_id")))
     return found.groupBy(key).agg(pairs.getField("word_id").alias("ids"))
 
@@ -234,11 +239,8 @@ def pack_shuffled(
 
 
 def first_packed(rows: DataFrame, n: int) -> DataFrame:
-    """The first ``min(n, rows)`` packed rows, a cap for short runs.
-
-    No batch is empty, so they lie in the first ``n`` batches.
-    """
-    return rows.where(F.col("batch") < n).orderBy("batch", "chunk").limit(n)
+    """The first ``min(n, rows)`` packed rows, a cap for short runs."""
+    return rows.orderBy("batch", "chunk").limit(n)
 
 
 # --- masking ----------------------------------------------------------------

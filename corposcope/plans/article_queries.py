@@ -287,7 +287,7 @@ def journal_lookup_salted(spark, folder):
     """The way a dimension too large to broadcast is joined."""
     rows = _valid(spark, folder).select("id", "issn")
     h_index = J.h_index_by_issn(J.rank_rows(journal_ranks(spark, folder)))
-    joined = lookup_join(rows, h_index, "issn", limit=0, spread=["id"])
+    joined = lookup_join(rows, h_index, "issn", shuffled=True)
     return joined.withColumn("h_index", F.coalesce("h_index", F.lit(0)))
 
 
@@ -501,15 +501,12 @@ def corpus_figures(spark, folder):
 
 
 @query("training_budget", """
-    SELECT CAST(8192 // (2 * 32) AS BIGINT) AS accumulation, CAST(64 * 16 AS BIGINT) AS tokens_per_step,
-      CAST(floor(sum(len(string_split(text, ' '))) * 0.95::DOUBLE / (64 * 16)) AS BIGINT) AS steps
+    SELECT CAST(8192 // (2 * 32) AS BIGINT) AS accumulation, CAST(8192 * 512 AS BIGINT) AS tokens_per_step,
+      CAST(floor(sum(len(string_split(text, ' '))) * 0.95::DOUBLE / (8192 * 512)) AS BIGINT) AS steps
     FROM documents""")
 def training_budget(spark, folder):
     figures = S.corpus_figures(documents(spark, folder), F.size(F.split("text", " ")))
-    full = S.training_budget(figures).select("accumulation")
-    return S.training_budget(figures, target_batch=64, length=16, device_batch=32, devices=1).withColumn(
-        "accumulation", full.scalar()
-    )
+    return S.training_budget(figures)
 
 
 def _percentile_sql(column: str, cast: str = "DOUBLE") -> str:

@@ -54,11 +54,15 @@ def training_rows(
 
 
 def prepare_training(
-    spark: SparkSession, scored_path: str, vocab: DataFrame, target: str, *, length: int = 512,
+    spark: SparkSession, scored_path: str, vocab: str, target: str, *, length: int | None = 512, model_max: int = 512,
     band: Band | None = None, fraction: float = 0.01, seed: int = 42, mask_id: int, vocab_size: int,
     probability: float = 0.15,
 ) -> None:
-    """Scored shards to masked training rows on disk, one folder per split."""
+    """Scored shards to masked training rows on disk, one folder per split.
+
+    ``vocab`` is the path of a piece file. ``length`` is cut to what the model takes.
+    """
+    length = T.sequence_length(length, model_max)
     scored = A.read_scored(spark, scored_path)
     tokens = staged(T.tokenise(scored, vocab, drop=["text", "shard"]), "tokens")
     rows = training_rows(tokens, "id", length=length, band=band, fraction=fraction, seed=seed)

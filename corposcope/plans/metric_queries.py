@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import chunks as C, metrics as M, regression as G
 from .registry import ctes, query
@@ -26,7 +26,7 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 _PREDICTIONS = """
 predictions AS (
-  SELECT CASE WHEN vec_id % 3 = 0 THEN list_position(embedding[1:10], list_max(embedding[1:10])) - 1 ELSE label END AS p,
+  SELECT CASE WHEN vec_id % 3 = 0 THEN list_position(embedding, list_max(embedding)) - 1 ELSE label END AS p,
     label AS r, CAST(1 + vec_id % 4 AS DOUBLE) AS w, vec_id % 5 AS run FROM embeddings)
 """
 _COUNTS = """
@@ -102,6 +102,33 @@ scores AS (SELECT *, CASE WHEN np + nr = 0 THEN 0 ELSE 2 * tp::DOUBLE / (np + nr
 """
 
 
+# Labels asked for by name, some of them absent in some runs and one in all.
+_ASKED = [0, 1, 2, 40, 99]
+_BY_RUN = """
+runs AS (SELECT DISTINCT run FROM predictions),
+asked AS (
+  SELECT g.run, g.label, count(*) FILTER (p = label AND r = label) AS tp, count(*) FILTER (p = label) AS np,
+    count(*) FILTER (r = label) AS nr
+  FROM (SELECT run, unnest({labels}) AS label FROM runs) g JOIN predictions q ON q.run = g.run GROUP BY ALL),
+by_run AS (SELECT run, label, CASE WHEN np + nr = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * tp / (np + nr) END AS f1 FROM asked)
+"""
+
+
+@query("f1_macro_by_run", ctes(_PREDICTIONS, _BY_RUN.format(labels=_ASKED)) + """
+    SELECT run, round(avg(f1), 8) AS f1 FROM by_run GROUP BY run""")
+def f1_macro_by_run(spark, folder):
+    """Every run is averaged over all asked labels, also those it does not have."""
+    rows = M.f1(predictions(spark, folder), "p", "r", average="macro", labels=_ASKED, by=("run",))
+    return _round(rows, "f1")
+
+
+@query("f1_binary_by_run", ctes(_PREDICTIONS, _BY_RUN.format(labels=[40])) + """
+    SELECT run, round(f1, 8) AS f1 FROM by_run""")
+def f1_binary_by_run(spark, folder):
+    """A run without the positive label scores 0."""
+    return _round(M.f1(predictions(spark, folder), "p", "r", pos_label=40, by=("run",)), "f1")
+
+
 @query("f1_multilabel_macro", ctes(_MULTI) + "SELECT round(avg(f1), 8) AS f1 FROM scores")
 def f1_multilabel_macro(spark, folder):
     return _round(M.f1(multi_label(spark, folder), "p", "r", average="macro"), "f1")
@@ -129,31 +156,40 @@ def accuracy_multilabel(spark, folder):
 # --- regression scores ------------------------------------------------------
 
 
+def _summed(term) -> Column:
+    """A number that every part of the vector goes into."""
+    return F.aggregate("embedding", F.lit(0.0), lambda total, v: total + term(v.cast("double")))
+
+
+_X = "list_sum([v::DOUBLE FOR v IN embedding])"
+_Y = "list_sum([v::DOUBLE * abs(v::DOUBLE) FOR v IN embedding])"
+
+
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
         "vec_id", "label", (1 + F.col("vec_id") % 4).cast("double").alias("w"),
-        F.slice("embedding", 1, 4).alias("p"), F.slice("embedding", 5, 4).alias("r"),
-        F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"),
+        F.slice("embedding", 1, 32).alias("p"), F.slice("embedding", 33, 32).alias("r"),
+        _summed(lambda v: v).alias("x"), _summed(lambda v: v * F.abs(v)).alias("y"),
     )
 
 
 _GAPS = """
 gaps AS (
   SELECT vec_id, label, CAST(1 + vec_id % 4 AS DOUBLE) AS w, o,
-    pow(embedding[o + 1]::DOUBLE - embedding[o + 5]::DOUBLE, 2) AS e
-  FROM embeddings, (SELECT unnest([0, 1, 2, 3]) AS o)),
+    pow(embedding[o + 1]::DOUBLE - embedding[o + 33]::DOUBLE, 2) AS e
+  FROM embeddings, (SELECT unnest(range(32)) AS o)),
 outputs AS (SELECT o, avg(e) AS mse, sum(w * e) / sum(w) AS weighted FROM gaps GROUP BY o)
 """
 
 
-@query("mse_scalar", """
-    SELECT round(avg(pow(embedding[1]::DOUBLE - embedding[2]::DOUBLE, 2)), 8) AS mse FROM embeddings""")
+@query("mse_scalar", f"""
+    SELECT round(avg(pow({_X} - {_Y}, 2)), 8) AS mse FROM embeddings""")
 def mse_scalar(spark, folder):
     return _round(M.mse(vectors(spark, folder), "x", "y"), "mse")
 
 
-@query("rmse_scalar", """
-    SELECT round(sqrt(avg(pow(embedding[1]::DOUBLE - embedding[2]::DOUBLE, 2))), 8) AS mse FROM embeddings""")
+@query("rmse_scalar", f"""
+    SELECT round(sqrt(avg(pow({_X} - {_Y}, 2))), 8) AS mse FROM embeddings""")
 def rmse_scalar(spark, folder):
     return _round(M.mse(vectors(spark, folder), "x", "y", squared=False), "mse")
 
@@ -172,11 +208,11 @@ def mse_uniform_weighted_rows(spark, folder):
     SELECT round(sum((o + 1) * sqrt(mse)) / sum(o + 1), 8) AS mse FROM outputs""")
 def rmse_weighted_outputs(spark, folder):
     rows = vectors(spark, folder)
-    return _round(M.mse(rows, "p", "r", multioutput=[1.0, 2.0, 3.0, 4.0], squared=False), "mse")
+    return _round(M.mse(rows, "p", "r", multioutput=[float(o) for o in range(1, 33)], squared=False), "mse")
 
 
-@query("pearson", """
-    SELECT label, round(corr(embedding[1]::DOUBLE, embedding[2]::DOUBLE), 8) AS pearsonr FROM embeddings GROUP BY label""")
+@query("pearson", f"""
+    SELECT label, round(corr({_X}, {_Y}), 8) AS pearsonr FROM embeddings GROUP BY label""")
 def pearson(spark, folder):
     return _round(M.pearson(vectors(spark, folder), "x", "y", by=("label",)), "pearsonr")
 
@@ -243,11 +279,47 @@ def entity_scores(spark, folder):
     SELECT type || '_precision' AS metric, round(tp / np, 8) AS value FROM sums
     UNION ALL SELECT type || '_recall', round(tp / nr, 8) FROM sums
     UNION ALL SELECT type || '_f1', round(2 * tp / (np + nr), 8) FROM sums
-    UNION ALL SELECT type || '_number', nr::DOUBLE FROM sums""")
+    UNION ALL SELECT type || '_number', nr::DOUBLE FROM sums WHERE type <> 'overall'""")
 def entity_scores_flat(spark, folder):
     return _round(C.flat_scores(C.entity_scores(tagged(spark, folder), "pred", "ref")), "value")
 
 
+_ACCURACY = "round((SELECT avg(CASE WHEN pred = ref THEN 1.0::DOUBLE ELSE 0 END) FROM tagged), 8)"
+
+
+@query("entity_report", ctes(*_CHUNKS, _MATCHES, _ENTITY) + f"""
+    SELECT type || '_precision' AS metric, round(tp / np, 8) AS value FROM sums
+    UNION ALL SELECT type || '_recall', round(tp / nr, 8) FROM sums
+    UNION ALL SELECT type || '_f1', round(2 * tp / (np + nr), 8) FROM sums
+    UNION ALL SELECT type || '_number', nr::DOUBLE FROM sums WHERE type <> 'overall'
+    UNION ALL SELECT 'overall_accuracy', {_ACCURACY}""")
+def entity_report(spark, folder):
+    """Scores of every type with the accuracy over all tags."""
+    rows = tagged(spark, folder)
+    return _round(C.flat_scores(C.entity_scores(rows, "pred", "ref"), C.tag_accuracy(rows, "pred", "ref")), "value")
+
+
+@query("entity_report_overall", ctes(*_CHUNKS, _MATCHES, _ENTITY) + f"""
+    SELECT 'precision' AS metric, round(tp / np, 8) AS value FROM sums WHERE type = 'overall'
+    UNION ALL SELECT 'recall', round(tp / nr, 8) FROM sums WHERE type = 'overall'
+    UNION ALL SELECT 'f1', round(2 * tp / (np + nr), 8) FROM sums WHERE type = 'overall'
+    UNION ALL SELECT 'accuracy', {_ACCURACY}""")
+def entity_report_overall(spark, folder):
+    """The four values over all types."""
+    rows = tagged(spark, folder)
+    return _round(C.overall_scores(C.entity_scores(rows, "pred", "ref"), C.tag_accuracy(rows, "pred", "ref")), "value")
+
+
+@query("entity_scores_none", ctes(TAGGED) + """
+    SELECT 'overall' AS type, 0.0::DOUBLE AS precision, 0.0::DOUBLE AS recall, 0.0::DOUBLE AS f1,
+      CAST(count(*) FILTER (WHERE replace(pred, pred, 'O') <> 'O') AS BIGINT) AS number FROM tagged""")
+def entity_scores_none(spark, folder):
+    """No entity on either side still gives an overall row."""
+    rows = tagged(spark, folder)
+    outside = {c: F.transform(c, lambda t: F.lit("O")) for c in ("pred", "ref")}
+    return C.entity_scores(rows.withColumns(outside), "pred", "ref")
+
+
 # A strict chunk opens at a begin tag only and lasts while inside tags of its type follow.
 _STRICT = """
 {side}_steps AS (
@@ -328,7 +400,7 @@ def combined_score(spark, folder):
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select(
-        "vec_id", F.slice("embedding", 1, 16).alias("v"),
+        "vec_id", F.slice("embedding", 2, 63).alias("v"),
         (F.col("label") + F.col("embedding")[0]).alias("similarity"),
     )
     return G.as_features(rows, "v", "similarity", "vec_id")

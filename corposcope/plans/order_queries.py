@@ -40,7 +40,7 @@ def hashed_split(spark, folder):
 @query("first_rows", ctes(ORDERED) + """
     SELECT o.doc_id, d.n_chars FROM ordered o JOIN documents d ON d.doc_id = o.doc_id WHERE ordinal < 100""")
 def first_rows(spark, folder):
-    """The head of the order as a training set cap: a top-n."""
+    """The head of the order as a training set cap."""
     return O.first_rows(_docs(spark, folder), 100, "doc_id")
 
 
@@ -48,9 +48,9 @@ def first_rows(spark, folder):
     SELECT o.doc_id, d.n_chars FROM ordered o JOIN documents d ON d.doc_id = o.doc_id
     WHERE ordinal < (SELECT count(*) // 2 FROM documents)""")
 def first_half(spark, folder):
-    """A cap too large for a top-n: rows before the key at the cut."""
+    """A large cap: rows before the key at the cut."""
     docs = _docs(spark, folder)
-    return O.first_rows(docs, docs.count() // 2, "doc_id", top_n_rows=0)
+    return O.first_rows(docs, docs.count() // 2, "doc_id")
 
 
 @query("sample_rows", """

@@ -321,11 +321,11 @@ def task_columns(spark, folder):
 
 def logits(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("index"), F.slice("embedding", 1, 10).alias("logits"), "label", "embedding"
+        F.col("vec_id").alias("index"), F.col("embedding").alias("logits"), "label", "embedding"
     )
 
 
-_LOGITS = "logits AS (SELECT vec_id AS index, embedding[1:10] AS l, embedding, label FROM embeddings)"
+_LOGITS = "logits AS (SELECT vec_id AS index, embedding AS l, embedding, label FROM embeddings)"
 _CLASS = "list_position(l, list_max(l)) - 1"
 
 
@@ -335,11 +335,11 @@ def predicted_class(spark, folder):
     return P.predicted_class(logits(spark, folder), "logits").select("index", "prediction")
 
 
-_NAMES = [f"label{i}" for i in range(10)]
+_NAMES = [f"label{i}" for i in range(64)]
 
 
 @query("predicted_label_lists", ctes(_LOGITS) + """
-    SELECT index, array_to_string(['label' || i FOR i IN range(10) IF l[i + 1] > 0], ',') AS prediction FROM logits""")
+    SELECT index, array_to_string(['label' || i FOR i IN range(64) IF l[i + 1] > 0], ',') AS prediction FROM logits""")
 def predicted_label_lists(spark, folder):
     rows = P.predicted_labels(logits(spark, folder), "logits", _NAMES)
     return rows.select("index", F.array_join("prediction", ",").alias("prediction"))
@@ -349,7 +349,7 @@ _POSITIONS = """
 positions AS (
   SELECT index, j, list_position(embedding[j * 5 + 1:j * 5 + 5], list_max(embedding[j * 5 + 1:j * 5 + 5])) AS p,
     CASE WHEN (index + j) % 4 = 0 THEN -100 ELSE (index + j) % 5 END AS l
-  FROM (SELECT index, embedding, unnest(range(12)) AS j FROM logits))
+  FROM (SELECT index, embedding, unnest(range(13)) AS j FROM logits))
 """
 
 
@@ -367,10 +367,10 @@ def predicted_tags(spark, folder):
 
 
 def _token_logits(spark: SparkSession, folder: str) -> DataFrame:
-    tokens = F.array(*[F.slice("embedding", j * 5 + 1, 5) for j in range(12)])
+    tokens = F.array(*[F.slice("embedding", j * 5 + 1, 5) for j in range(13)])
     place = lambda j: F.col("index") + j
     labels = F.array(*[
-        F.when(place(j) % 4 == 0, F.lit(AR.IGNORED)).otherwise((place(j) % 5).cast("int")) for j in range(12)
+        F.when(place(j) % 4 == 0, F.lit(AR.IGNORED)).otherwise((place(j) % 5).cast("int")) for j in range(13)
     ])
     return logits(spark, folder).select("index", tokens.alias("token_logits"), labels.alias("labels"))
 
@@ -386,7 +386,7 @@ def prediction_file(spark, folder):
 
 
 @query("prediction_list_file", ctes(_LOGITS) + """
-    SELECT index, '[' || array_to_string(['''label' || i || '''' FOR i IN range(10) IF l[i + 1] > 0], ', ') || ']' AS prediction
+    SELECT index, '[' || array_to_string(['''label' || i || '''' FOR i IN range(64) IF l[i + 1] > 0], ', ') || ']' AS prediction
     FROM logits""")
 def prediction_list_file(spark, folder):
     path = new_path(spark, "predictions")

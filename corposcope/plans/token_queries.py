@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import fixed_length, truncated
 from ..operators import tokens as T
-from ..operators.lookup import lookup_join
 from ..operators.scoring import Band
-from ..session import durable, staged
+from ..session import new_path, staged
+from ..sources.records import scan_vocabulary
 from . import jobs
 from .registry import ctes, query
-from .tables import ORDERED, SCORED_ALL, VOCABULARY, WORDS, documents, scored
+from .tables import ORDERED, SCORED_ALL, VOCABULARY, WORDS, documents, scored, table
 
 PACK_LENGTH, PACK_BATCH = 128, 64
-VOCABULARY_WORDS = 20_000
 
 
 def _docs(spark, folder):
@@ -52,28 +51,42 @@ def word_token_ids(spark, folder):
     SELECT doc_id, array_to_string(ids, ' ') AS ids FROM word_ids""")
 def word_token_ids_salted(spark, folder):
     """The join taken when the vocabulary is too large to broadcast."""
-    return _joined(word_ids(spark, folder, limit=0, salts=4), "ids")
+    return _joined(word_ids(spark, folder, shuffled=True), "ids")
 
 
 # Words and marks of the piece vocabulary, and greedy longest match in SQL.
 _SPACED = r"""regexp_replace(lower(text), '([^\p{L}\p{N}])', ' \1 ', 'g')"""
 _PIECES = f"""
 counted AS (
-  SELECT word, count(*) AS n FROM (SELECT unnest(string_split({_SPACED}, ' ')) AS word FROM documents)
+  SELECT word, count(*) AS n FROM (SELECT unnest(string_split({_SPACED}, ' ')) AS word FROM benchmark)
   WHERE word <> '' AND regexp_full_match(word, '\\S+') GROUP BY word),
-chars AS (SELECT DISTINCT unnest(string_split(word, '')) AS ch FROM counted),
+spelled AS (SELECT DISTINCT unnest(string_split({_SPACED}, ' ')) AS word FROM documents),
+chars AS (SELECT DISTINCT unnest(string_split(word, '')) AS ch FROM spelled WHERE word <> '' AND regexp_full_match(word, '\\S+')),
 pieces AS (
   SELECT piece, CAST(row_number() OVER (ORDER BY kind, pos, piece) - 1 AS INTEGER) AS id FROM (
     SELECT * FROM (VALUES ('[PAD]', 0, 0), ('[UNK]', 0, 1), ('[CLS]', 0, 2), ('[SEP]', 0, 3), ('[MASK]', 0, 4)) t(piece, kind, pos)
     UNION ALL SELECT ch, 1, 0 FROM chars WHERE ch <> ''
     UNION ALL SELECT '##' || ch, 2, 0 FROM chars WHERE ch <> ''
-    UNION ALL SELECT word, 3, -n FROM (SELECT word, n FROM counted ORDER BY n DESC, word LIMIT 20000) WHERE length(word) > 1))
+    UNION ALL SELECT word, 3, -n FROM counted WHERE length(word) > 1))
 """
 
 
 @query("piece_vocabulary", ctes(_PIECES) + "SELECT piece, id FROM pieces")
 def piece_vocabulary(spark, folder):
-    return T.piece_vocabulary(_docs(spark, folder), VOCABULARY_WORDS)
+    return T.piece_vocabulary(table(spark, folder, "benchmark"), _docs(spark, folder))
+
+
+def vocabulary_file(spark: SparkSession, folder: str) -> str:
+    """The piece table written as a file, as published ones are."""
+    path = new_path(spark, "vocabulary")
+    T.write_vocabulary(piece_vocabulary(spark, folder), path)
+    return path
+
+
+@query("piece_vocabulary_file", ctes(_PIECES) + "SELECT piece, id FROM pieces")
+def piece_vocabulary_file(spark, folder):
+    """Written one piece per line and scanned again; the id is the line number."""
+    return scan_vocabulary(spark, vocabulary_file(spark, folder))
 
 
 _MATCHED = r"""
@@ -95,7 +108,7 @@ matched AS (
     JOIN pieces p ON p.piece = CASE WHEN m.pos = 0 THEN '' ELSE '##' END || substr(m.word, m.pos + 1, l))
   WHERE rn = 1),
 word_pieces AS (
-  SELECT w.word, CASE WHEN length(w.word) > 100 OR m.ids IS NULL THEN [1] ELSE m.ids END AS ids
+  SELECT w.word, CASE WHEN m.ids IS NULL THEN [1] ELSE m.ids END AS ids
   FROM (SELECT DISTINCT word FROM parts WHERE word <> '') w
   LEFT JOIN matched m ON m.word = w.word AND m.pos = length(m.word)),
 chunk_pieces AS (
@@ -108,9 +121,7 @@ token_ids AS (
 
 
 def tokenised(spark: SparkSession, folder: str, **options) -> DataFrame:
-    docs = _docs(spark, folder)
-    vocab = durable(T.piece_vocabulary(docs, VOCABULARY_WORDS))
-    return T.tokenise(docs, vocab, **options)
+    return T.tokenise(_docs(spark, folder), vocabulary_file(spark, folder), **options)
 
 
 @query("tokenised", "WITH RECURSIVE " + ctes(_PIECES, _MATCHED)[5:] + """
@@ -166,17 +177,18 @@ def fixed_length_arrays(spark, folder):
 # --- packing and masking ----------------------------------------------------
 
 
+_TOKENS = "WITH RECURSIVE " + ctes(_PIECES, _MATCHED)[5:].rstrip()
+
+
 def _packable(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored word ids with their masks; packing reads them several times."""
-    ids = staged(word_ids(spark, folder), "ids").withColumnRenamed("ids", "_pieces")
-    return T.with_masks(ids, "_pieces", cls=2, sep=3).drop("_pieces")
+    """Stored piece ids with their masks; packing reads them several times."""
+    return staged(tokenised(spark, folder).drop("text"), "tokens")
 
 
 def _packed_sql(length: int, batch: int) -> str:
-    return ctes(WORDS, VOCABULARY, _WORD_IDS, ORDERED) + f""",
-    wrapped AS (
-      SELECT o.ordinal, list_concat(list_concat([2], w.ids), [3]) AS ids
-      FROM word_ids w JOIN ordered o ON o.doc_id = w.doc_id),
+    return f"""{_TOKENS},
+    {ORDERED},
+    wrapped AS (SELECT o.ordinal, t.ids FROM token_ids t JOIN ordered o ON o.doc_id = t.doc_id),
     spans AS (
       SELECT ordinal // {batch} AS batch, ids, sum(len(ids)) OVER (PARTITION BY ordinal // {batch} ORDER BY ordinal) - len(ids) AS start
       FROM wrapped),
@@ -220,16 +232,16 @@ def packed_rows_small_batches(spark, folder):
     return _packed_report(rows)
 
 
-_TRAINING = ctes(*SCORED_ALL, WORDS, VOCABULARY, _WORD_IDS) + """,
+_TRAINING = _TOKENS + "," + ctes(*SCORED_ALL)[5:].rstrip() + """,
     wrapped AS (
-      SELECT s.id, s.sjr, list_concat(list_concat([2], w.ids), [3]) AS ids,
+      SELECT s.id, s.sjr, w.ids,
         row_number() OVER (ORDER BY md5(s.id || '|42'), s.id) AS place, count(*) OVER () AS total
-      FROM scored s JOIN word_ids w ON w.doc_id = s.id),
-    parts AS (
+      FROM scored s JOIN token_ids w ON w.doc_id = s.id),
+    divided AS (
       SELECT *, CASE WHEN place > total - ceil(total / 10.0) THEN 'validation' ELSE 'train' END AS split FROM wrapped),
     kept AS (
       SELECT split, ids, row_number() OVER (PARTITION BY split ORDER BY place) - 1 AS ordinal
-      FROM parts WHERE split = 'validation' OR sjr BETWEEN 0.759 AND 100),
+      FROM divided WHERE split = 'validation' OR sjr BETWEEN 0.759 AND 100),
     spans AS (
       SELECT split, ordinal // 64 AS batch, ids,
         sum(len(ids)) OVER (PARTITION BY split, ordinal // 64 ORDER BY ordinal) - len(ids) AS start FROM kept),
@@ -245,7 +257,7 @@ _TRAINING = ctes(*SCORED_ALL, WORDS, VOCABULARY, _WORD_IDS) + """,
 def training_rows(spark, folder):
     """Scored articles to token rows: split, metric band on the training part, packing."""
     scores = scored(spark, folder).select(F.col("id").alias("doc_id"), "sjr")
-    tokens = staged(lookup_join(_packable(spark, folder), scores, "doc_id", "inner"), "tokens")
+    tokens = staged(_packable(spark, folder).join(scores, "doc_id"), "scored_tokens")
     band = Band("sjr", 0.759, 100.0, "top50%")
     rows = jobs.training_rows(tokens, "doc_id", length=128, band=band, fraction=0.1, batch_size=64)
     return _packed_report(rows, "split")
@@ -267,11 +279,10 @@ def _hex(share: float) -> str:
     return format(int(round(share * 2**32)), "08x")
 
 
-_MASKED = ctes(WORDS, VOCABULARY, _WORD_IDS) + f""",
+_MASKED = _TOKENS + f""",
     tokens AS (
       SELECT rowkey, i, ids[i + 1] AS t, i > 0 AND i < len(ids) - 1 AS plain FROM (
-        SELECT doc_id AS rowkey, list_concat(list_concat([2], ids), [3]) AS ids,
-          unnest(range(len(ids) + 2)) AS i FROM word_ids)),
+        SELECT doc_id AS rowkey, ids, unnest(range(len(ids))) AS i FROM token_ids)),
     drawn AS (SELECT *, {_draw("i")} AS u FROM tokens),
     picked AS (SELECT *, plain AND u < '{_hex(0.15)}' AS chosen FROM drawn)
     SELECT rowkey AS doc_id,
@@ -288,8 +299,7 @@ def masked_tokens(spark, folder):
     return _joined(rows.select("doc_id", "input_ids", "labels"), "input_ids", "labels")
 
 
-@query("training_columns", ctes(WORDS) + """
-    SELECT doc_id, CAST(count(*) + 2 AS INTEGER) AS n FROM placed GROUP BY doc_id""")
+@query("training_columns", _TOKENS + " SELECT doc_id, CAST(len(ids) AS INTEGER) AS n FROM token_ids")
 def training_columns(spark, folder):
     """Only the token columns of a dataset are kept for training."""
     rows = _packable(spark, folder).withColumn("extra", F.lit("x"))

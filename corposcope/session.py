@@ -70,15 +70,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a table out over the cores when it is stored in too few pieces.
-
-    A small file is one task whatever the cluster. A table with more input
-    splits than the session has cores is left as it is, so large tables are
-    never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() > cores:
-        return df
-    return df.repartition(cores, key)

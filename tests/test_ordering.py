@@ -49,10 +49,30 @@ def test_split_fraction_is_checked(ids, fraction):
 
 
 @pytest.mark.parametrize("n", [0, 1, 777, 3000, 5000])
-def test_first_rows_both_ways(ids, n):
-    want = set(expected_order(range(3000))[:n])
-    assert {r["k"] for r in O.first_rows(ids, n, "k").collect()} == want
-    assert {r["k"] for r in O.first_rows(ids, n, "k", top_n_rows=0).collect()} == want
+def test_first_rows_are_in_order(ids, n):
+    assert [r["k"] for r in O.first_rows(ids, n, "k").collect()] == expected_order(range(3000))[:n]
+
+
+@pytest.mark.parametrize("digits", [1, 2, 3, 5])
+def test_positions_do_not_depend_on_the_number_of_buckets(ids, digits):
+    got = {r["ordinal"]: r["k"] for r in O.with_ordinal(ids, "k", digits=digits).collect()}
+    assert [got[i] for i in range(3000)] == expected_order(range(3000))
+
+
+def test_files_are_ordered_by_number_beyond_five_digits(spark, tmp_path, monkeypatch):
+    """Names of one more digit come after, though they sort before as text."""
+    monkeypatch.setattr(O, "new_path", lambda *_: str(tmp_path / "sorted"))
+    df = spark.range(60).repartition(3)
+    O.sorted_table(df, F.asc("id"))
+    for path in sorted((tmp_path / "sorted").glob("part-*")):
+        number = int(path.name.split("-")[1])
+        path.rename(path.with_name(path.name.replace(f"part-{number:05d}", f"part-{99_999 + number}", 1)))
+    for path in (tmp_path / "sorted").glob(".part-*"):
+        path.unlink()
+    table = spark.read.parquet(str(tmp_path / "sorted")).select(
+        "id", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("part"), F.col("_metadata.row_index").alias("i")
+    )
+    assert [r["id"] for r in table.orderBy("part", "i").collect()] == list(range(60))
 
 
 def test_sorted_ordinal_with_one_heavy_value(spark):
@@ -61,28 +81,14 @@ def test_sorted_ordinal_with_one_heavy_value(spark):
     assert got == sorted(got) and len(got) == 5000
 
 
-def test_salted_join_equals_broadcast(spark):
+def test_both_ways_to_join_agree_with_a_hot_key(spark):
     df = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
     side = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("left", "inner", "left_semi", "left_anti"):
         plain = sorted(map(str, lookup_join(df, side, "k", how).collect()))
-        salted = sorted(map(str, lookup_join(df, side, "k", how, limit=0, salts=5).collect()))
-        assert plain == salted, how
-
-
-def test_salting_spreads_a_hot_key(spark):
-    df = spark.range(10_000).select("id", F.lit(1).alias("k"))
-    side = spark.createDataFrame([(1, 2)], "k int, v int")
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = lookup_join(df, side, "k", "left", limit=0, spread=["id"])
-        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(per_task) > 1 and sum(r["count"] for r in per_task) == 10_000
+        shuffled = lookup_join(df, side, "k", how, shuffled=True)
+        assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert plain == sorted(map(str, shuffled.collect())), how
 
 
 def packed_by_hand(arrays, length, batch, pad=0):
