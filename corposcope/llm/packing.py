@@ -24,8 +24,8 @@ SEQUENCE = 2048
 END_ID = 1
 # Bytes of text in a group, on average.
 GROUP_BYTES = 2 << 20
-# Distinct words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+# Distinct words, and distinct parts of words, whose ids a worker remembers before it starts afresh.
+REMEMBERED = 500_000
 
 _PIECE = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -46,12 +46,14 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.parts: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[str, tuple[int, int]] = {}
-        self.parts: dict[str, list[int]] = {"": []}
-        self.ids = array("I")
+        self.rows: dict[str, int] = {}
+        self.begins, self.sizes, self.ids = array("q"), array("q"), array("I")
+        if len(self.parts) > REMEMBERED:
+            self.parts = {}
 
     def part(self, letters: str) -> list[int]:
         """Ids of lower-case letters or of punctuation, which the pre-tokeniser leaves whole."""
@@ -63,33 +65,37 @@ class TokenIds:
 
     def word(self, word: str) -> list[int]:
         plain = _PLAIN.fullmatch(word)
-        if plain and "<|" not in word:
-            return self.part(plain[1].lower()) + self.part(plain[2])
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+        if plain is None or "<|" in word:
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        letters, marks = plain.groups()
+        if not marks:
+            return self.part(letters.lower())
+        return self.part(letters.lower()) + self.part(marks) if letters else self.part(marks)
+
+    def row(self, ids: list[int]) -> int:
+        self.begins.append(len(self.ids))
+        self.sizes.append(len(ids))
+        self.ids.extend(ids)
+        return len(self.sizes) - 1
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each followed by the end id, and where each text ends."""
-        if len(self.places) > REMEMBERED:
+        if len(self.rows) > REMEMBERED:
             self.forget()
         distinct, codes, ends = split_words(texts)
-        at = np.empty((len(distinct), 2), np.int64)
-        for i, word in enumerate(distinct.to_pylist()):
-            place = self.places.get(word)
-            if place is None:
-                ids = self.word(word)
-                place = self.places[word] = (len(self.ids), len(ids))
-                self.ids.extend(ids)
-            at[i] = place
+        words = distinct.to_pylist()
+        rows = [self.rows.get(w, -1) for w in words]
+        for i, row in enumerate(rows):
+            if row < 0:
+                rows[i] = self.rows[words[i]] = self.row(self.word(words[i]))
         # The end ids are one more word after each text.
-        at = np.vstack([at, [len(self.ids), 1]])
-        self.ids.append(END_ID)
-        codes = np.insert(codes, ends[1:], len(at) - 1)
-        sizes = at[codes, 1]
+        rows.append(self.row([END_ID]))
+        codes = np.insert(codes, ends[1:], len(rows) - 1)
+        row = np.array(rows)[codes]
+        sizes = np.array(self.sizes)[row]
         stops = np.concatenate([[0], np.cumsum(sizes)])
-        picks = np.repeat(at[codes, 0] - stops[:-1], sizes) + np.arange(stops[-1])
-        flat = np.frombuffer(self.ids, np.uint32)[picks]
-        self.ids.pop()
-        return flat, stops[ends + np.arange(len(ends))]
+        picks = np.repeat(np.array(self.begins)[row] - stops[:-1], sizes) + np.arange(stops[-1])
+        return np.array(self.ids, np.uint32)[picks], stops[ends + np.arange(len(ends))]
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
