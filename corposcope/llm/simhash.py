@@ -167,7 +167,7 @@ def probe_plan(fingerprints: DataFrame, distance: int = DISTANCE) -> list[tuple[
             row = [0.0]
             for t in range(distance + 1):
                 probes = sum(math.comb(len(bits), k) for k in range(t + 1))
-                row.append(n * probes * ROW_COST + agree * float(ways[: t + 1].sum()))
+                row.append(max(n, 1) * probes * ROW_COST + agree * float(ways[: t + 1].sum()))
             costs.append(row)
         total, chosen = thresholds(costs, distance - len(layout) + 1)
         plans.append((total, [(bits, t) for bits, t in zip(layout, chosen) if t >= 0]))
@@ -180,12 +180,15 @@ def probe_plan(fingerprints: DataFrame, distance: int = DISTANCE) -> list[tuple[
 def _members(fingerprints: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """``(part, key, fp, probe)``: each fingerprint under its own value in every partition, and as a
     probe under the values that differ in up to the threshold of bits."""
-    rows = []
+    parts = []
     for part, (bits, threshold) in enumerate(plan):
         flips = [_mask(c) for k in range(threshold + 1) for c in combinations(bits, k)]
-        key = F.col("fp").bitwiseAND(F.lit(_mask(bits)))
-        rows += [F.struct(F.lit(part).alias("part"), key.bitwiseXOR(F.lit(f)).alias("key"), F.lit(f != 0).alias("probe")) for f in flips]
-    return fingerprints.select("fp", F.inline(F.array(*rows)))
+        spelled = F.from_json(F.lit(str(flips)), "array<long>")
+        struct = F.struct(F.lit(part).alias("part"), F.lit(_mask(bits)).alias("mask"), spelled.alias("flips"))
+        parts.append(struct)
+    dealt = fingerprints.select("fp", F.inline(F.array(*parts))).select("fp", "part", "mask", F.explode("flips").alias("flip"))
+    key = F.col("fp").bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip"))
+    return dealt.select("fp", "part", key.alias("key"), (F.col("flip") != 0).alias("probe"))
 
 
 def _spanning(fps: np.ndarray, probe: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
