@@ -198,6 +198,6 @@ def mix_sources(
 
 def repeat_documents(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as its copies say."""
-    mixed = mix_sources(with_sizes(docs.withColumnRenamed("size", "_size") if "size" in docs.columns else docs))
-    repeated = mixed.where("copies > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
-    return repeated.select(*[F.col("_size").alias("size") if c == "size" else F.col(c) for c in docs.columns])
+    sized = docs.select("doc_id", "source", word_count().alias("size"), F.struct(*docs.columns).alias("_row"))
+    mixed = mix_sources(sized).where("copies > 0")
+    return mixed.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_row.*")
