@@ -26,7 +26,7 @@ BUCKETS = 1 << 16
 WIDTH = 8
 NGRAMS = (3, 4, 5)
 PASSAGE = 16
-EPOCHS, BATCH, RATE = 8, 50, 0.5
+STEPS, BATCH, RATE = 800, 50, 0.5
 # Vectors that fewer training texts have stay 0: they would learn those texts by heart.
 LEAST_TEXTS = 3
 _OTHER = re.compile(r"[\W_]+")
@@ -133,8 +133,11 @@ def train(texts: list[str], labels: list[int], prior: float | None = None, *, se
     model.vectors[~known] = 0
     squares = [np.full(model.vectors.shape, 1e-6), np.full(WIDTH, 1e-6), 1e-6]
     usable = np.flatnonzero(np.diff(ends) > 0)
-    for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(usable), -(-len(usable) // BATCH)):
+    batches = max(-(-len(usable) // BATCH), 1)
+    for _ in range(-(-STEPS // batches)):
+        for batch in np.array_split(rng.permutation(usable), batches):
+            if not len(batch):
+                continue
             sizes = ends[batch + 1] - ends[batch]
             own = codes[np.repeat(ends[batch] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())]
             stops, text = passages(np.concatenate([[0], np.cumsum(sizes)]))
