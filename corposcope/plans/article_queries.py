@@ -128,6 +128,13 @@ def _marked_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Articles of a file: the number of files grows with the rows.
+_PER_FILE = 50
+_SHARD = f"id div {_PER_FILE}"
+# Elements that are cut in half: one in some of the files.
+_CUT = f"id % 100 = 7 AND floor(id / {_PER_FILE}) % 4 = 2"
+
+
 def _write_elements(elements: DataFrame, path: str) -> None:
     """Files of article elements, one per ``shard``, each under a root element."""
     ends = F.inline(F.array(
@@ -147,24 +154,25 @@ def _write_elements(elements: DataFrame, path: str) -> None:
 def article_markup(spark, folder):
     """Titles with inline markup keep it as text, or lose it on request."""
     path = new_path(spark, "markup")
-    _write_elements(_marked_files(spark, folder).withColumn("shard", F.col("id") % 8), path)
+    _write_elements(_marked_files(spark, folder).withColumn("shard", F.expr(_SHARD)), path)
     rows = cleaning.with_defaults(A.scan_articles(spark, path).drop("file", A.CORRUPT))
     return rows.select("id", "title", strip_markup(F.col("title")).alias("plain_title"), "abstract")
 
 
 def _files_with_faults(spark: SparkSession, folder: str) -> str:
-    """Twenty shards of article elements; in shard 7 some elements are cut in half."""
+    """Shards of article elements; in one of four an element is cut in half."""
     path = new_path(spark, "faulty")
     rows = _marked_files(spark, folder).select(
-        F.when(F.col("id") % 100 == 7, F.expr("left(value, length(value) div 2)")).otherwise(F.col("value")).alias("value"),
-        (F.col("id") % 20).alias("shard"),
+        F.when(F.expr(_CUT), F.expr("left(value, length(value) div 2)")).otherwise(F.col("value")).alias("value"),
+        F.expr(_SHARD).alias("shard"),
     )
     _write_elements(rows, path)
     return path
 
 
-@query("malformed_files_skipped", ctes(ARTICLES) + """
-    SELECT id, title AS plain_title, abstract FROM articles WHERE id % 20 <> 7""")
+@query("malformed_files_skipped", ctes(ARTICLES) + f"""
+    SELECT id, title AS plain_title, abstract FROM articles
+    WHERE id // {_PER_FILE} NOT IN (SELECT id // {_PER_FILE} FROM articles WHERE {_CUT})""")
 def malformed_files_skipped(spark, folder):
     scanned = A.scan_articles(spark, _files_with_faults(spark, folder))
     good, _ = A.quarantine(staged(scanned, "scan"))
@@ -172,7 +180,9 @@ def malformed_files_skipped(spark, folder):
     return rows.select("id", F.col("title").alias("plain_title"), "abstract")
 
 
-@query("malformed_files_reported", "SELECT '7' AS shard, 1 AS broken_records")
+@query("malformed_files_reported", ctes(ARTICLES) + f"""
+    SELECT CAST(id // {_PER_FILE} AS VARCHAR) AS shard, CAST(count(*) AS INTEGER) AS broken_records
+    FROM articles WHERE {_CUT} GROUP BY ALL""")
 def malformed_files_reported(spark, folder):
     scanned = A.scan_articles(spark, _files_with_faults(spark, folder))
     _, broken = A.quarantine(staged(scanned, "scan"))
