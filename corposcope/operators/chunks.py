@@ -9,37 +9,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Which transitions start, continue and end an entity in the
-# strict schemes, as "previous current relation" of prefixes and types.
+# strict schemes, as previous prefix, current prefix and relation of the types.
 STRICT_SCHEMES = {
     "IOB1": {
-        "start": ["O I any", "I I diff", "B I any", "I B same", "B B same"],
-        "inside": ["B I same", "I I same"],
-        "end": ["I I diff", "I O any", "I B any", "B O any", "B I diff", "B B same"],
+        "start": [("O", "I", "any"), ("I", "I", "diff"), ("B", "I", "any"), ("I", "B", "same"), ("B", "B", "same")],
+        "inside": [("B", "I", "same"), ("I", "I", "same")],
+        "end": [("I", "I", "diff"), ("I", "O", "any"), ("I", "B", "any"), ("B", "O", "any"), ("B", "I", "diff"), ("B", "B", "same")],
     },
     "IOE1": {
-        "start": ["O I any", "I I diff", "E I any", "E E same"],
-        "inside": ["I I same", "I E same"],
-        "end": ["I I diff", "I O any", "I E diff", "E I same", "E E same"],
+        "start": [("O", "I", "any"), ("I", "I", "diff"), ("E", "I", "any"), ("E", "E", "same")],
+        "inside": [("I", "I", "same"), ("I", "E", "same")],
+        "end": [("I", "I", "diff"), ("I", "O", "any"), ("I", "E", "diff"), ("E", "I", "same"), ("E", "E", "same")],
     },
     "IOB2": {
-        "start": ["* B any"],
-        "inside": ["B I same", "I I same"],
-        "end": ["I O any", "I I diff", "I B any", "B O any", "B I diff", "B B any"],
+        "start": [("*", "B", "any")],
+        "inside": [("B", "I", "same"), ("I", "I", "same")],
+        "end": [("I", "O", "any"), ("I", "I", "diff"), ("I", "B", "any"), ("B", "O", "any"), ("B", "I", "diff"), ("B", "B", "any")],
     },
     "IOE2": {
-        "start": ["O I any", "O E any", "E I any", "E E any", "I I diff", "I E diff"],
-        "inside": ["I E same", "I I same"],
-        "end": ["E * any"],
+        "start": [("O", "I", "any"), ("O", "E", "any"), ("E", "I", "any"), ("E", "E", "any"), ("I", "I", "diff"), ("I", "E", "diff")],
+        "inside": [("I", "E", "same"), ("I", "I", "same")],
+        "end": [("E", "*", "any")],
     },
     "IOBES": {
-        "start": ["* B any", "* S any"],
-        "inside": ["B I same", "B E same", "I I same", "I E same"],
-        "end": ["S * any", "E * any"],
+        "start": [("*", "B", "any"), ("*", "S", "any")],
+        "inside": [("B", "I", "same"), ("B", "E", "same"), ("I", "I", "same"), ("I", "E", "same")],
+        "end": [("S", "*", "any"), ("E", "*", "any")],
     },
     "BILOU": {
-        "start": ["* B any", "* U any"],
-        "inside": ["B I same", "B L same", "I I same", "I L same"],
-        "end": ["U * any", "L * any"],
+        "start": [("*", "B", "any"), ("*", "U", "any")],
+        "inside": [("B", "I", "same"), ("B", "L", "same"), ("I", "I", "same"), ("I", "L", "same")],
+        "end": [("U", "*", "any"), ("L", "*", "any")],
     },
 }
 
@@ -62,10 +62,9 @@ def _type(tag: Column, suffix: bool) -> Column:
     return F.when(kind == "", "_").otherwise(kind)
 
 
-def _any_of(patterns: list[str], before: Column, now: Column, suffix: bool) -> Column:
+def _any_of(patterns: list[tuple[str, str, str]], before: Column, now: Column, suffix: bool) -> Column:
     condition = F.lit(False)
-    for pattern in patterns:
-        left, right, relation = pattern.split()
+    for left, right, relation in patterns:
         match = F.lit(True)
         if left != "*":
             match = match & (_prefix(before, suffix) == left)

@@ -210,6 +210,7 @@ tagged AS (
 
 # --- runs -------------------------------------------------------------------
 
+# Names of corpora and models that run folders carry.
 CORPORA = [
     "blurb-bc5chem", "blurb-bc5disease", "blurb-bc2gm", "blurb-jnlpba", "blurb-ncbi_disease",
     "hoc", "chemprot", "ddi-corpus", "gad", "bioasq-task-b", "pubmed-qa", "biosses",

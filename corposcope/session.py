@@ -33,12 +33,12 @@ def local_session(app: str, cores: int | str = 8, **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a ``local[...]`` session may fall back to a folder of its own.
+    Where that is unset, a session whose executor is the driver itself, as in tests, gets a folder of its own.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         app = context.applicationId
         if app not in _local_dirs:
