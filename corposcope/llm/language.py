@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import crc_share, mix64, owners, slices, split_words
+from .common import SLICE_BYTES, crc_share, mix64, owners, slices, split_words
 
 UNKNOWN = "und"
 # A text in which no language reaches this share of the words is not of a known language.
@@ -262,7 +262,7 @@ def with_language(docs: DataFrame, model: Model, *, text: str = "text") -> DataF
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            parts = [_labels(part.column(0), model) for part in slices(pa.record_batch([texts], ["t"]), "t")]
+            parts = [_labels(part.column(0), model) for part in slices(pa.record_batch([texts], ["t"]), "t", SLICE_BYTES // 2)]
             langs = [x for part in parts for x in part[0]]
             scores = np.concatenate([part[1] for part in parts]) if parts else np.zeros(0)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], ["lang", "score"])

@@ -25,7 +25,7 @@ END_ID = 1
 # Bytes of text in a group, on average.
 GROUP_BYTES = 2 << 20
 # Distinct words, and distinct parts of words, whose ids a worker remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 _PIECE = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -46,7 +46,7 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -55,27 +55,27 @@ class TokenIds:
         if len(self.parts) > REMEMBERED:
             self.parts = {}
 
-    def part(self, letters: str) -> list[int]:
+    def part(self, letters: str) -> bytes:
         """Ids of lower-case letters or of punctuation, which the pre-tokeniser leaves whole."""
         found = self.parts.get(letters)
         if found is None:
             symbols = letters if letters.isascii() else self.bytes_of(letters)[0][0]
-            found = self.parts[letters] = [t.id for t in self.tokenizer.model.tokenize(symbols)]
+            found = self.parts[letters] = array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
         return found
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if plain is None or "<|" in word:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         letters, marks = plain.groups()
         if not marks:
             return self.part(letters.lower())
         return self.part(letters.lower()) + self.part(marks) if letters else self.part(marks)
 
-    def row(self, ids: list[int]) -> int:
+    def row(self, ids: bytes) -> int:
         self.begins.append(len(self.ids))
-        self.sizes.append(len(ids))
-        self.ids.extend(ids)
+        self.ids.frombytes(ids)
+        self.sizes.append(len(self.ids) - self.begins[-1])
         return len(self.sizes) - 1
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +89,7 @@ class TokenIds:
             if row < 0:
                 rows[i] = self.rows[words[i]] = self.row(self.word(words[i]))
         # The end ids are one more word after each text.
-        rows.append(self.row([END_ID]))
+        rows.append(self.row(array("I", [END_ID]).tobytes()))
         codes = np.insert(codes, ends[1:], len(rows) - 1)
         row = np.array(rows)[codes]
         sizes = np.array(self.sizes)[row]

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import owners, runs_of, slices, stored
+from .common import runs_of, slices, stored
 from .components import components
 
 SHINGLE = 3
@@ -31,6 +31,8 @@ PARTITIONS = (2, 3, 4)
 ROW_COST = 400.0
 # A bucket with more members is cut into blocks that are compared two by two.
 BUCKET_ROWS = 4096
+# Text that is shingled at a time; more of it would not go faster.
+SHINGLED_BYTES = 1 << 20
 # Up to this many members all pairs of a bucket are compared at once with those of other buckets.
 SMALL = 8
 
@@ -72,7 +74,7 @@ def fingerprint(text: str = "text", *, words: int = SHINGLE, seed: int = SEED) -
     @F.arrow_udf("long")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            parts = [text_fingerprints(p.column(0), words=words, seed=seed) for p in slices(pa.record_batch([texts], ["t"]), "t")]
+            parts = [text_fingerprints(p.column(0), words=words, seed=seed) for p in slices(pa.record_batch([texts], ["t"]), "t", SHINGLED_BYTES)]
             yield pa.array(np.concatenate(parts).view(np.int64) if parts else [], pa.int64())
 
     return of(F.col(text).cast("string"))
