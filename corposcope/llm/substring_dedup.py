@@ -17,14 +17,14 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SLICE_BYTES, Words, mix64, owners, partitions, runs_of, slices, split_words
+from .common import SLICE_BYTES, Words, mix64, partitions, runs_of, slices, split_words
 
 WINDOW = 13
 # Rows of the sketch, and the largest number of its cells: the merged sketch is one bit a cell,
 # so what is broadcast has at most 256 MB, and half a bit for each byte of text below that.
 DEPTH = 2
 MOST_CELLS = 1 << 31
-# Cells whose counts are merged in one group.
+# Cells whose counts are merged in one group, at most.
 RANGE = 1 << 20
 # Windows that a task sketches or sends on at a time.
 HELD = 2_000_000
@@ -99,19 +99,24 @@ def _texts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.n
             yield k1[keep], k2[keep], keys[row[keep]].astype(np.int64)
 
 
-def _sketcher(cells: int, width: int):
-    ranges = max(cells // DEPTH // RANGE, 1)
+def _span(cells: int) -> int:
+    return min(RANGE, cells // DEPTH)
+
+
+def _sketcher(cells: int, width: int, most: int):
+    span = _span(cells)
+    ranges = cells // DEPTH // span
     schema = pa.schema([("line", pa.int32()), ("range", pa.int32()), ("gaps", pa.binary())])
 
     def flush(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         lines, at, gaps = [], [], []
         for line, parts in enumerate(held):
             found = np.sort(np.concatenate(parts))
-            cuts = np.searchsorted(found, np.arange(ranges + 1) * RANGE)
+            cuts = np.searchsorted(found, np.arange(ranges + 1) * span)
             for r in np.flatnonzero(np.diff(cuts)):
                 lines.append(line)
                 at.append(r)
-                gaps.append(pack_gaps(found[cuts[r] : cuts[r + 1]] - r * RANGE))
+                gaps.append(pack_gaps(found[cuts[r] : cuts[r + 1]] - r * span))
         return pa.record_batch([pa.array(lines, pa.int32()), pa.array(at, pa.int32()), pa.array(gaps, pa.binary())], schema=schema)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +125,7 @@ def _sketcher(cells: int, width: int):
             for parts, found in zip(held, _cells(k1, k2, cells)):
                 parts.append(found.astype(np.uint32))
             n += len(k1)
-            if n > HELD:
+            if n > most:
                 yield flush(held)
                 held, n = [[] for _ in range(DEPTH)], 0
         if n:
@@ -129,42 +134,47 @@ def _sketcher(cells: int, width: int):
     return sketch
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merger(span: int):
     """For each range of cells one bit a cell: counted twice or more."""
     schema = pa.schema([("line", pa.int32()), ("range", pa.int32()), ("twice", pa.binary())])
-    now, counts = None, None
 
-    def done() -> pa.RecordBatch:
-        bits = np.packbits(counts > 1, bitorder="little").tobytes()
-        return pa.record_batch([[now[0]], [now[1]], [bits]], schema=schema)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, np.zeros(0, np.uint8)
 
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("line", "range", "gaps")]
-        for line, at, gaps in zip(*columns):
-            if (line, at) != now:
-                if now is not None:
-                    yield done()
-                now, counts = (line, at), np.zeros(RANGE, np.uint8)
-            found, n = np.unique(unpack_gaps(gaps), return_counts=True)
-            counts[found] = np.minimum(counts[found] + n, 2)
-    if now is not None:
-        yield done()
-
-
-def repeated_cells(docs: DataFrame, cells: int, width: int = WINDOW) -> Broadcast:
+        def done() -> pa.RecordBatch:
+            bits = np.packbits(counts > 1, bitorder="little").tobytes()
+            return pa.record_batch([pa.array([x], f.type) for x, f in zip((*now, bits), schema)], schema=schema)
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("line", "range", "gaps")]
+            for line, at, gaps in zip(*columns):
+                if (line, at) != now:
+                    if now is not None:
+                        yield done()
+                    now, counts = (line, at), np.zeros(span, np.uint8)
+                found, n = np.unique(unpack_gaps(gaps), return_counts=True)
+                counts[found] = np.minimum(counts[found] + n, 2)
+        if now is not None:
+            yield done()
+
+    return merge
+
+
+def repeated_cells(docs: DataFrame, cells: int, width: int = WINDOW, held: int = HELD) -> Broadcast:
     """The merged sketch of all windows: an array of ``DEPTH`` lines with a bit for each cell."""
     spark = docs.sparkSession
-    parts = docs.mapInArrow(_sketcher(cells, width), "line int, range int, gaps binary")
+    parts = docs.mapInArrow(_sketcher(cells, width, held), "line int, range int, gaps binary")
     parts = parts.repartition("line", "range").sortWithinPartitions("line", "range")
-    merged = parts.mapInArrow(_merge, "line int, range int, twice binary")
-    sketch = np.zeros((DEPTH, max(cells // DEPTH, RANGE) // 8), np.uint8)
+    merged = parts.mapInArrow(_merger(_span(cells)), "line int, range int, twice binary")
+    sketch = np.zeros((DEPTH, cells // DEPTH // 8), np.uint8)
+    size = _span(cells) // 8
     for r in merged.toLocalIterator():
-        at = r["range"] * (RANGE // 8)
-        sketch[r["line"], at : at + RANGE // 8] = np.frombuffer(r["twice"], np.uint8)
+        at = r["range"] * size
+        sketch[r["line"], at : at + size] = np.frombuffer(r["twice"], np.uint8)
     return spark.sparkContext.broadcast(sketch)
 
 
-def _selector(sketch: Broadcast, cells: int, width: int, shards: int):
+def _selector(sketch: Broadcast, cells: int, width: int, shards: int, most: int):
     """Windows that may be repeated, by shard: keys of 96 bits and runs of the documents they are from."""
     schema = pa.schema([("shard", pa.int32()), ("k1", pa.binary()), ("k2", pa.binary()), ("docs", pa.binary()), ("runs", pa.binary())])
 
@@ -190,7 +200,7 @@ def _selector(sketch: Broadcast, cells: int, width: int, shards: int):
                 keep &= (line[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
             held.append((k1[keep], k2[keep], doc[keep]))
             n += int(keep.sum())
-            if n > HELD:
+            if n > most:
                 yield flush(held)
                 held, n = [], 0
         if n:
@@ -217,7 +227,7 @@ def _grouper(units: int):
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         k1, doc = k1[doc > least], doc[doc > least]
         unit = _unit(doc, units)
-        order = np.argsort(unit, kind="stable")
+        order = np.lexsort((doc, unit))
         k1, doc, unit = k1[order], doc[order], unit[order]
         cuts = np.flatnonzero(np.diff(unit, prepend=-1))
         ends = [*cuts[1:], len(unit)]
@@ -295,7 +305,7 @@ def _remover(width: int):
     return remove
 
 
-def remove_repeats(docs: DataFrame, *, width: int = WINDOW, cells: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, width: int = WINDOW, cells: int | None = None, held: int = HELD) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_text)``, one per row of ``docs``.
 
     A word goes if a window of ``width`` words that covers it also starts in a document with a smaller
@@ -303,18 +313,18 @@ def remove_repeats(docs: DataFrame, *, width: int = WINDOW, cells: int | None =
     words, texts shorter than a window are kept, and a row without id neither loses nor takes
     words. Rows that repeat a ``doc_id`` don't count against each other. An empty table gives no rows.
 
-    The texts move once, at the end; before that only bytes per window move. A window that very many
+    ``cells`` is a power of two, at least 16. The texts move once, at the end; before that only bytes per window move. A window that very many
     documents share costs its shard 16 bytes for each slice and document.
     """
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = light.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if cells is None:
         cells = min(max(1 << max(total // 2 - 1, 0).bit_length(), DEPTH * RANGE), MOST_CELLS)
-    units = max(total // SLICE_BYTES, 1) * 4
-    shards = 4 * partitions(docs.sparkSession)
+    units = max(total // SLICE_BYTES, 1) * 2
+    shards = partitions(docs.sparkSession)
     known = light.where("doc_id is not null")
-    sketch = repeated_cells(known, cells, width)
-    chosen = known.mapInArrow(_selector(sketch, cells, width, shards), "shard int, k1 binary, k2 binary, docs binary, runs binary")
+    sketch = repeated_cells(known, cells, width, held)
+    chosen = known.mapInArrow(_selector(sketch, cells, width, shards, held), "shard int, k1 binary, k2 binary, docs binary, runs binary")
     chosen = chosen.repartition("shard").sortWithinPartitions("shard")
     lists = chosen.mapInArrow(_grouper(units), "unit long, docs binary, keys binary")
 
