@@ -282,12 +282,12 @@ def hamming_links(fingerprints: DataFrame, *, distance: int = DISTANCE, bucket_r
 
 
 def near_duplicates(docs: DataFrame, *, distance: int = DISTANCE, words: int = SHINGLE) -> DataFrame:
-    """``(doc_id, text_key, fp, component_id, links)``, one per row of ``docs``.
+    """``(doc_id, text_key, fp, component_id, links, root)``, one per row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` that a chain of links between fingerprints reaches,
     the row itself included; ``links`` counts the other rows with the same fingerprint and the
     fingerprints of the spanning links. ``text_key`` is a hash of the text that tells rows of one ``doc_id``
-    apart. Null and empty texts have fingerprint 0 and link like any other; a null id is no
+    apart, ``root`` the smallest fingerprint of the component, which identifies it. Null and empty texts have fingerprint 0 and link like any other; a null id is no
     smallest one unless all are; an empty table gives no rows.
     """
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), fingerprint(words=words).alias("fp"))
@@ -300,17 +300,16 @@ def near_duplicates(docs: DataFrame, *, distance: int = DISTANCE, words: int = S
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     classes = rooted.join(smallest, "root").join(degree, "fp", "left").select(
-        "fp", "component_id", (F.col("n") - 1 + F.coalesce("degree", F.lit(0))).alias("links")
+        "fp", "root", "component_id", (F.col("n") - 1 + F.coalesce("degree", F.lit(0))).alias("links")
     )
-    return light.join(stored(classes, "classes"), "fp").select("doc_id", "text_key", "fp", "component_id", "links")
+    return light.join(stored(classes, "classes"), "fp").select("doc_id", "text_key", "fp", "component_id", "links", "root")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that have the smallest ``doc_id`` of their group, one for each group."""
-    found = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Rows that repeat the smallest id of a group: one of them.
-    chosen = found.groupBy("doc_id", "component_id").agg(F.min("text_key").alias("_key"))
-    chosen = chosen.select(F.col("doc_id").alias("_id"), "_key").distinct()
+    """One row of ``docs`` for each group: the smallest ``doc_id``, null ids last, then the smallest text hash."""
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    chosen = near_duplicates(docs).groupBy("root").agg(F.min(first).alias("c"))
+    chosen = chosen.select(F.col("c.doc_id").alias("_id"), F.col("c.text_key").alias("_key"))
     marked = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string")))
     kept = marked.join(chosen, F.col("_id").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_key") == F.col("_text")), "left_semi")
     return kept.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)

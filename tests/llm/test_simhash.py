@@ -58,6 +58,15 @@ def test_one_row_of_each_group_stays(odd):
     assert len(fps) == len(groups)
 
 
+def test_groups_without_an_id_or_with_one_id_stay_apart(spark):
+    rows = [(None, "one two three four"), (None, "red green blue"), (None, "red green blue"), (None, "sun moon star sky")]
+    rows += [(1, "north south east west"), (1, "spring summer autumn"), (2, "spring summer autumn"), (None, "north south east west")]
+    assert len({fingerprint(t) for _, t in rows}) == len(component_ids([(i, fingerprint(t)) for i, (_, t) in enumerate(dict.fromkeys(rows))])) - 2 == 5
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, "one two three four"), (None, "red green blue"), (None, "sun moon star sky"), (1, "north south east west"), (1, "spring summer autumn")]
+    assert sorted(map(tuple, kept), key=str) == sorted(want, key=str)
+
+
 def clustered(n, seed):
     """Random fingerprints, chains of near ones and a dense group around one value."""
     rng = random.Random(seed)
