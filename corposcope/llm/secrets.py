@@ -1,8 +1,9 @@
 """Secrets in texts: known forms, and strings whose characters look random.
 
-Strings that could be keys are cut out of the text by character class. A window slides over each and
-its Shannon entropy follows from counts that change by one character in and one out; the windows
-above the class's threshold are joined to spans. Allow-listed strings don't count.
+Strings that could be keys are cut out of the text. A window slides over each and its Shannon entropy
+follows from counts that change by one character in and one out; the windows above the threshold of the
+narrowest class of characters that they lie in are joined to spans. Windows over allow-listed
+identifiers and spans over allow-listed words don't count, whatever else the string holds.
 """
 
 from __future__ import annotations
@@ -35,13 +36,12 @@ CLASSES = [
     ("alphanumeric", re.compile(r"[A-Za-z0-9]+"), 3.6),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
 ]
-# Allow-list: example keys of public documentation, identifiers that are no secrets, and words without a digit.
-ALLOWED = [
-    re.compile(r"EXAMPLE|example|test|dummy|placeholder|changeme"),
-    re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"(?i:abcdefghijklmnopqrstuvwxyz|0123456789abcdef)"),
-    re.compile(r"^[^0-9]*$|^[0-9_=/+-]*$"),
-]
+# Allow-list: identifiers that are no secrets, words of example keys (EXAMPLE stands inside those of public
+# documentation, the others alone), and strings without a digit or a letter.
+IDENTIFIERS = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(?i:abcdefghijklmnopqrstuvwxyz|0123456789abcdef)")
+EXAMPLES = re.compile(r"EXAMPLE|(?<![A-Za-z0-9])(?i:examples?|test|dummy|placeholder|changeme)(?![A-Za-z0-9])")
+_WORDY = re.compile(r"[^0-9]*|[0-9_=/+-]*")
+_DIGIT = re.compile(r"[0-9]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -75,25 +75,38 @@ def window_entropies(text: str, width: int = WINDOW) -> list[float]:
     return out
 
 
+def window_thresholds(word: str) -> list[float]:
+    """The bits that each window of a candidate needs: those of the first class with a run that holds the
+    window. A run of letters alone is words and has no lower threshold for being alphanumeric."""
+    out = [CLASSES[-1][2]] * (len(word) - WINDOW + 1)
+    for name, pattern, bits in reversed(CLASSES[:-1]):
+        for m in pattern.finditer(word):
+            n = m.end() - m.start() - WINDOW + 1
+            if n > 0 and (name != "alphanumeric" or _DIGIT.search(m.group())):
+                out[m.start() : m.start() + n] = [bits] * n
+    for m in IDENTIFIERS.finditer(word):
+        first = max(m.start() - WINDOW + 1, 0)
+        out[first : m.end()] = [float("inf")] * len(out[first : m.end()])
+    return out
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of candidate strings in which windows have the entropy of random characters."""
     found = []
     for m in _CANDIDATE.finditer(text):
         word = m.group()
-        if any(p.search(word) for p in ALLOWED):
+        if _WORDY.fullmatch(word):
             continue
-        least = next(bits for _, pattern, bits in CLASSES if pattern.fullmatch(word))
-        start = end = -1
-        for at, bits in enumerate(window_entropies(word)):
+        spans: list[list[int]] = []
+        for at, (bits, least) in enumerate(zip(window_entropies(word), window_thresholds(word))):
             if bits < least:
                 continue
-            if at > end:
-                if start >= 0:
-                    found.append((m.start() + start, m.start() + end, "entropy"))
-                start = at
-            end = at + WINDOW
-        if start >= 0:
-            found.append((m.start() + start, m.start() + end, "entropy"))
+            if not spans or at > spans[-1][1]:
+                spans.append([at, at])
+            spans[-1][1] = at + WINDOW
+        examples = [e.span() for e in EXAMPLES.finditer(word)] if spans else []
+        kept = [s for s in spans if not any(s[0] < b and a < s[1] for a, b in examples)]
+        found += [(m.start() + a, m.start() + b, "entropy") for a, b in kept]
     return found
 
 

@@ -57,6 +57,22 @@ def test_random_keys_are_found_and_prose_is_not():
         assert [s for s in secrets.text_spans(prose) if s["kind"] == "entropy"] == [], prose
 
 
+def test_a_key_in_a_longer_string_is_judged_by_itself():
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    uuid = "123e4567-e89b-42d3-a456-426614174000"
+    for _ in range(50):
+        key = "".join(rng.choice(letters) for _ in range(39)) + "7"
+        digits = "".join(rng.choice("0123456789ABCDEF") for _ in range(40))
+        for before, after in (("/releases/latest/download/", ""), (uuid + "/", ""), ("", "/" + uuid), ("/contest/fastest/greatest/", "")):
+            text = before + key + after
+            a, b = len(before), len(before) + len(key)
+            assert sum(min(s["end"], b) - max(s["start"], a) for s in secrets.text_spans(text)) >= 20, text
+        assert any(s["kind"] == "entropy" and s["end"] > 24 for s in secrets.text_spans("KEY=" + digits)), digits
+    for plain in (uuid + "/" + uuid, "id=" + uuid, "call-1234567890123456789012345678-now", "sk_test_4eC39HqLyjWDarjtT1zdp7dc", "v2/antidisestablishmentarianism"):
+        assert [s for s in secrets.text_spans(plain) if s["kind"] == "entropy"] == [], plain
+
+
 def test_odd_rows(odd, odd_rows, none):
     rows = secrets.with_secrets(odd).collect()
     assert len(rows) == len(odd_rows) and all(r.secrets == [] for r in rows if not r.text)
