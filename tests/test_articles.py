@@ -187,9 +187,10 @@ def test_scored_shards_to_training_rows(spark, tmp_path):
     df = spark.createDataFrame(rows, "id long, text string, h_index int, sjr double, random double, shard string")
     A.write_scored(df, str(tmp_path / "scored"))
     pieces = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]", "word", "other", "text", *"0123456789", *[f"##{d}" for d in range(10)]]
-    vocab = spark.createDataFrame([(p, i) for i, p in enumerate(pieces)], "piece string, id int")
+    vocab = tmp_path / "vocab.txt"
+    vocab.write_text("\n".join(pieces) + "\n")
     jobs.prepare_training(
-        spark, str(tmp_path / "scored"), vocab, str(tmp_path / "rows"), length=16,
+        spark, str(tmp_path / "scored"), str(vocab), str(tmp_path / "rows"), length=16,
         band=S.Band("sjr", 0.759, 100.0, "top50%"), fraction=0.1, mask_id=4, vocab_size=len(pieces),
     )
     validation = A.read_splits(spark, str(tmp_path / "rows"), "validation")
