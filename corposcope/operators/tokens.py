@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from glob import glob
 
 import pyarrow as pa
-from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.arrays import IGNORED, fixed_length
 from ..functions.keys import hash_key
@@ -22,6 +19,9 @@ SPECIAL_PIECES = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
 # What fills the end of the last packed row, per column.
 PACK_FILLS = {"input_ids": 0, "token_type_ids": 0, "attention_mask": 0, "special_tokens_mask": 1}
 
+# A piece file is held by every task; published ones have well under a megabyte.
+VOCABULARY_BYTES = 64 << 20
+
 
 # --- vocabularies -----------------------------------------------------------
 
@@ -54,7 +54,8 @@ def piece_vocabulary(words_of: DataFrame, chars_of: DataFrame, text: str = "text
         clean = F.regexp_replace(F.lower(text), r"([^\p{L}\p{N}])", " $1 ")
         return word_counts(df.select(clean.alias("text"))).where("word <> '' and word rlike '^\\\\S+$'")
 
-    chars = counted(chars_of).select(F.explode_outer(F.split("word", "")).alias("ch")).where("ch <> ''").distinct()
+    # The distinct characters of a row leave it, not its words.
+    chars = chars_of.select(F.explode_outer(F.array_distinct(F.split(F.lower(text), ""))).alias("ch")).where("ch rlike '^\\\\S+$'").distinct()
     specials = F.array(*[F.struct(F.lit(p).alias("piece"), F.lit(i).cast("long").alias("at")) for i, p in enumerate(SPECIAL_PIECES)])
     starts = chars.select(F.col("ch").alias("piece"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("at"))
     later = chars.select(F.concat(F.lit("##"), "ch").alias("piece"), F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"))
@@ -76,14 +77,13 @@ def write_vocabulary(vocab: DataFrame, path: str) -> None:
 # --- token ids --------------------------------------------------------------
 
 
-def _pieces_in(path: str) -> dict[str, int]:
-    """The lines of a vocabulary file, or of the files of a folder in order, with their numbers."""
-    files = sorted(glob(f"{path}/part-*")) if os.path.isdir(path) else [path]
-    lines: list[str] = []
-    for name in files:
-        with open(name, encoding="utf-8", newline="\n") as file:
-            lines += [line.rstrip("\r\n") for line in file]
-    return {piece: i for i, piece in enumerate(lines)}
+def pieces_in(spark: SparkSession, path: str) -> dict[str, int]:
+    """The pieces of a vocabulary file with their line numbers; of at most ``VOCABULARY_BYTES``, as every task holds them."""
+    rows = scan_vocabulary(spark, path)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("piece") + 1), F.lit(0))).first()[0]
+    if size > VOCABULARY_BYTES:
+        raise ValueError(f"{path} has {size} bytes; join vocabularies of any size with word_ids")
+    return {r["piece"]: r["id"] for r in rows.collect()}
 
 
 def tokenise(
@@ -97,19 +97,17 @@ def tokenise(
 ) -> DataFrame:
     """Add ``input_ids``, ``token_type_ids``, ``attention_mask`` and ``special_tokens_mask``.
 
-    ``vocab`` is the path of a piece file, one piece per line, which Spark ships to every machine
-    (``word_ids`` joins a vocabulary of any size). Only the piece matching runs in Python, on Arrow
+    ``vocab`` is the path of a piece file, one piece per line, that is read once and broadcast; files
+    of one name don't mix (``word_ids`` joins a vocabulary of any size). Only the piece matching runs in Python, on Arrow
     batches and without a shuffle; the masks are array expressions.
     """
     spark = df.sparkSession
-    specials = scan_vocabulary(spark, vocab).where(F.col("piece").isin(SPECIAL_PIECES)).collect()
-    table = {r["piece"]: r["id"] for r in specials}
-    spark.sparkContext.addFile(vocab, recursive=True)
-    name = os.path.basename(vocab.rstrip("/"))
+    table = pieces_in(spark, vocab)
+    shipped = spark.sparkContext.broadcast(table)
 
     @F.arrow_udf("array<int>")
     def piece_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ids_of = PieceIds(_pieces_in(SparkFiles.get(name)))
+        ids_of = PieceIds(shipped.value)
         for batch in batches:
             yield ids_of(batch)
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.arrays import fixed_length, truncated
 from ..operators import tokens as T
 from ..operators.scoring import Band
+from ..operators.word_pieces import tokenise_native
 from ..session import new_path, staged
 from ..sources.records import scan_vocabulary
 from . import jobs
@@ -129,8 +130,12 @@ def tokenised(spark: SparkSession, folder: str, **options) -> DataFrame:
       0 AS types, 2 AS specials FROM token_ids""")
 def tokenised_documents(spark, folder):
     """Word pieces with start and end tokens and the parallel masks."""
+    return _token_report(tokenised(spark, folder))
+
+
+def _token_report(tokens: DataFrame) -> DataFrame:
     total = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x)
-    return tokenised(spark, folder).select(
+    return tokens.select(
         "doc_id",
         F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
         total("attention_mask").alias("attention"),
@@ -139,6 +144,15 @@ def tokenised_documents(spark, folder):
     )
 
 
+@query("tokenised_native", "WITH RECURSIVE " + ctes(_PIECES, _MATCHED)[5:] + """
+    SELECT doc_id, array_to_string(ids, ' ') AS input_ids, CAST(len(ids) AS INTEGER) AS attention,
+      0 AS types, 2 AS specials FROM token_ids""")
+def tokenised_native(spark, folder):
+    """The same pieces without Python workers, by joins over the distinct words."""
+    vocab = scan_vocabulary(spark, vocabulary_file(spark, folder))
+    return _token_report(tokenise_native(_docs(spark, folder), staged(vocab, "pieces"), "doc_id"))
+
+
 @query("tokenised_fixed_length", "WITH RECURSIVE " + ctes(_PIECES, _MATCHED)[5:] + """
     , fixed AS (
       SELECT doc_id, least(len(ids), 64) AS n,
