@@ -51,6 +51,20 @@ def bucket_starts(keyed: DataFrame, digits: int) -> DataFrame:
     return halves.join(first, "_half").select("_bucket", "_rows", (F.col("_first") + inside).alias("_start"))
 
 
+def running_starts(counts: DataFrame, columns: list[str], digits: int) -> DataFrame:
+    """``(_bucket, <column>_rows, <column>_start)`` for each count of ``counts``, in the two levels of ``bucket_starts``."""
+    half = bucket_of(F.col("_bucket"), max(digits // 2, 1))
+    halves = counts.withColumn("_half", half)
+    sums = halves.groupBy("_half").agg(*[F.sum(c).alias(f"{c}_all") for c in columns])
+    firsts = sums.select("_half", *[(F.sum(f"{c}_all").over(Window.orderBy("_half")) - F.col(f"{c}_all")).alias(f"{c}_first") for c in columns])
+    inside = Window.partitionBy("_half").orderBy("_bucket")
+    return halves.join(firsts, "_half").select(
+        "_bucket",
+        *[F.col(c).alias(f"{c}_rows") for c in columns],
+        *[(F.col(f"{c}_first") + F.sum(c).over(inside) - F.col(c)).alias(f"{c}_start") for c in columns],
+    )
+
+
 def with_ordinal(
     df: DataFrame, key: str, *, seed: int = 42, digits: int | None = None, keep_bucket: bool = False
 ) -> DataFrame:

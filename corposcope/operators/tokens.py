@@ -8,11 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.arrays import IGNORED, fixed_length
-from ..functions.keys import hash_key
+from ..functions.keys import bucket_of, hash_key
 from ..functions.pieces import PieceIds
 from ..sources.records import scan_vocabulary
 from .lookup import lookup_join
-from .ordering import with_ordinal, with_sorted_ordinal
+from .ordering import digits_for, running_starts, with_order_key, with_ordinal, with_sorted_ordinal
+from .scoring import Band
 
 # Special pieces, in id order for vocabularies built here.
 SPECIAL_PIECES = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
@@ -21,6 +22,8 @@ PACK_FILLS = {"input_ids": 0, "token_type_ids": 0, "attention_mask": 0, "special
 
 # A piece file is held by every task; published ones have well under a megabyte.
 VOCABULARY_BYTES = 64 << 20
+# Cells of the matrix of buckets by bands, of two longs each, that may be sent around.
+BROADCAST_CELLS = 1 << 21
 
 
 # --- vocabularies -----------------------------------------------------------
@@ -168,6 +171,7 @@ def pack(
     order: str = "ordinal",
     fills: dict[str, int] = PACK_FILLS,
     within: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Concatenate the token arrays of each batch and cut them into rows of ``length``.
 
@@ -175,7 +179,7 @@ def pack(
     of a batch is padded. Works on whichever of the ``fills`` columns exist.
     Arrays are cut with ``slice``, single tokens are never exploded. A caller
     whose batches lie inside existing partitions names their columns in
-    ``within`` and saves the shuffle.
+    ``within`` and saves the shuffle; those in ``keep`` are part of the result.
     """
     names = [c for c in fills if c in df.columns]
     if not names:
@@ -203,6 +207,7 @@ def pack(
         F.array_sort(F.collect_list("_part")).alias("_parts")
     )
     return rows.select(
+        *keep,
         "batch",
         "chunk",
         *[fixed_length(F.flatten(F.col("_parts").getField(n)), length, fills[n]).alias(n) for n in names],
@@ -236,6 +241,52 @@ def pack_shuffled(
     return inside.unionByName(across)
 
 
+def pack_bands(
+    df: DataFrame,
+    key: str,
+    bands: list[Band],
+    length: int,
+    *,
+    batch_size: int = 1024,
+    seed: int = 42,
+    digits: int | None = None,
+    fills: dict[str, int] = PACK_FILLS,
+) -> DataFrame:
+    """``band, batch, chunk`` and token arrays: the packed rows of every band, as if each had been selected,
+    shuffled and packed alone, with one shuffle of the token arrays for all of them.
+
+    A matrix of counts, buckets of the order by bands, gives the position at which each band goes on in a bucket, and
+    running counts inside the bucket give each row its position in every band that holds it. As in
+    ``pack_shuffled`` only batches that straddle two buckets move again. A few dozen bands at most: each is
+    a running count of the window. ``df`` has the metric columns of the bands and is read twice.
+    """
+    names = [c for c in fills if c in df.columns]
+    digits = digits_for(df.select(key).count()) if digits is None else digits
+    keyed = with_order_key(df, key, seed).withColumn("_bucket", bucket_of(F.col("_key"), digits))
+    held = {f"_b{i}": band.contains() for i, band in enumerate(bands)}
+    counts = keyed.groupBy("_bucket").agg(*[F.count_if(c).alias(n) for n, c in held.items()])
+    starts = running_starts(counts, list(held), digits)
+    if 16**digits * len(bands) <= BROADCAST_CELLS:  # the matrix is known to be small; so the rows stay in their buckets
+        starts = F.broadcast(starts)
+    before = Window.partitionBy("_bucket").orderBy("_key", key).rowsBetween(Window.unboundedPreceding, -1)
+    # Conditions are columns before the window, so that they are evaluated once a row.
+    placed = keyed.select("_bucket", "_key", key, *names, *[c.alias(n) for n, c in held.items()])
+    placed = placed.withColumns({f"_n{i}": F.coalesce(F.count_if(n).over(before), F.lit(0)) for i, n in enumerate(held)}).join(starts, "_bucket")
+    spots = F.array(*[
+        F.when(F.col(n), F.struct(F.lit(band.label).alias("band"), (F.col(f"{n}_start") + F.col(f"_n{i}")).alias("ordinal"),
+                                  F.col(f"{n}_start").alias("_from_"), F.col(f"{n}_rows").alias("_count_")))
+        for i, (n, band) in enumerate(zip(held, bands))
+    ])
+    each = placed.select("_bucket", *names, F.explode_outer(F.filter(spots, lambda s: s.isNotNull())).alias("_s")).where("_s is not null")
+    each = each.select("_bucket", *names, "_s.*")
+    first = F.expr(f"(ordinal div {batch_size}) * {batch_size}")
+    whole = (first >= F.col("_from_")) & (first + batch_size <= F.col("_from_") + F.col("_count_"))
+    options = {"batch_size": batch_size, "fills": fills, "keep": ("band",)}
+    inside = pack(each.where(whole), length, within=("_bucket", "band"), **options)
+    across = pack(each.where(~whole), length, within=("band",), **options)
+    return inside.unionByName(across)
+
+
 def first_packed(rows: DataFrame, n: int) -> DataFrame:
     """The first ``min(n, rows)`` packed rows, a cap for short runs."""
     return rows.orderBy("batch", "chunk").limit(n)

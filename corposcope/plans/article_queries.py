@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.keys import uniform
 from ..functions.text import strip_markup
 from ..operators import cleaning, journals as J, scoring as S
+from ..operators.bands import band_table_membership as band_membership_of, band_table_summary as band_summary_of
 from ..operators.lookup import lookup_join
 from ..session import new_path, staged
 from ..sources import articles as A, journals as JS
+from ..sources.records import scan_bands
 from ..streaming.intake import score_scanned, start_intake
 from .registry import ctes, query
 from .tables import (
@@ -371,13 +373,13 @@ def band_in_every_split(spark, folder):
     return S.select_band(_split_scored(spark, folder), "sjr", 0.759, 100.0)
 
 
-_BAND_ROWS = ", ".join(
+BAND_ROWS = ", ".join(
     f"('{b.label}', '{b.metric}', {'NULL' if b.low is None else b.low}::DOUBLE, "
     f"{'NULL' if b.high is None else b.high}::DOUBLE)"
     for b in S.BANDS
 )
 _MEMBERS = f"""
-bands AS (SELECT * FROM (VALUES {_BAND_ROWS}) AS t(band, metric, low, high)),
+bands AS (SELECT * FROM (VALUES {BAND_ROWS}) AS t(band, metric, low, high)),
 members AS (
   SELECT s.id, s.text, b.band FROM scored s JOIN bands b ON b.metric = 'none'
     OR CASE b.metric WHEN 'sjr' THEN s.sjr WHEN 'h-index' THEN s.h_index ELSE s.random END BETWEEN b.low AND b.high)
@@ -402,6 +404,65 @@ def band_summary(spark, folder):
     return S.band_summary(scored(spark, folder), F.size(F.split("text", " ")))
 
 
+# Bands from a table: two for each part, many of which overlap.
+_TABLE_BANDS = """
+part_bands AS (
+  SELECT 'random' AS metric, (p_partkey * 37 % 1000) / 1000.0::DOUBLE AS low, (p_partkey * 37 % 1000 + 1 + p_size) / 1000.0::DOUBLE AS high, 'part' || p_partkey AS name FROM part
+  UNION ALL
+  SELECT 'h-index', (p_partkey * 7 % 60)::DOUBLE, (p_partkey * 7 % 60 + p_size)::DOUBLE, 'part' || p_partkey FROM part WHERE p_partkey % 4 = 0
+  UNION ALL
+  SELECT 'sjr', CASE WHEN p_size % 5 > 0 THEN (p_size % 5)::DOUBLE END, CASE WHEN p_size % 7 > 0 THEN (5 + p_size % 7)::DOUBLE END, 'part' || p_partkey FROM part WHERE p_partkey % 10 = 0),
+table_members AS (
+  SELECT s.id, s.text, b.metric || '_' || b.name AS band FROM scored s JOIN part_bands b
+    ON CASE b.metric WHEN 'sjr' THEN s.sjr WHEN 'h-index' THEN s.h_index ELSE s.random END
+      BETWEEN coalesce(b.low, '-infinity'::DOUBLE) AND coalesce(b.high, 'infinity'::DOUBLE))
+"""
+
+
+def table_bands(spark: SparkSession, folder: str) -> DataFrame:
+    """A band file with thousands of overlapping bands, written and scanned."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    low, small = key * 37 % 1000, key * 7 % 60
+    bands = table(spark, folder, "part").select(
+        F.inline(
+            F.array(
+                F.struct(F.lit("random").alias("metric"), (low / 1000).alias("low"), ((low + 1 + size) / 1000).alias("high"), key.alias("key")),
+                F.when(key % 4 == 0, F.struct(F.lit("h-index").alias("metric"), small.cast("double").alias("low"), (small + size).cast("double").alias("high"), key.alias("key"))),
+                F.when(
+                    key % 10 == 0,
+                    F.struct(
+                        F.lit("sjr").alias("metric"), F.when(size % 5 > 0, (size % 5).cast("double")).alias("low"),
+                        F.when(size % 7 > 0, (5 + size % 7).cast("double")).alias("high"), key.alias("key"),
+                    ),
+                ),
+            )
+        )
+    ).where("metric is not null")
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("low", "high")]
+    one = F.array(*text, F.concat(F.lit("part"), "key"))
+    lists = bands.groupBy("metric").agg(F.collect_list(one).alias("bands"))
+    path = new_path(spark, "bands")
+    lists.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("metric", "bands")))).alias("value")).write.text(path)
+    return staged(scan_bands(spark, path), "bands")
+
+
+@query("band_table_membership", ctes(*SCORED_ALL, _TABLE_BANDS) + """
+    SELECT id, count(*) AS bands, min(band) AS first, max(band) AS last FROM table_members GROUP BY id""")
+def band_table_membership(spark, folder):
+    """How many of thousands of bands hold a document, and which comes first and last by name."""
+    held = band_membership_of(scored(spark, folder).drop("text"), table_bands(spark, folder))
+    return held.groupBy("id").agg(F.count("*").alias("bands"), F.min("band").alias("first"), F.max("band").alias("last"))
+
+
+@query("band_table_summary", ctes(*SCORED_ALL, _TABLE_BANDS) + """
+    SELECT b.metric || '_' || b.name AS band, count(m.id) AS documents,
+      CAST(coalesce(sum(len(string_split(m.text, ' '))), 0) AS BIGINT) AS tokens,
+      round(count(m.id) / (SELECT count(*) FROM scored)::DOUBLE, 6) AS share
+    FROM part_bands b LEFT JOIN table_members m ON m.band = b.metric || '_' || b.name GROUP BY ALL""")
+def band_table_summary(spark, folder):
+    return band_summary_of(scored(spark, folder), table_bands(spark, folder), F.size(F.split("text", " ")))
+
+
 # --- files of scored articles -----------------------------------------------
 
 

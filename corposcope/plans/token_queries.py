@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import fixed_length, truncated
 from ..operators import tokens as T
-from ..operators.scoring import Band
+from ..operators.scoring import BANDS, Band
 from ..operators.word_pieces import tokenise_native
 from ..session import new_path, staged
 from ..sources.records import scan_vocabulary
 from . import jobs
+from .article_queries import BAND_ROWS
 from .registry import ctes, query
 from .tables import ORDERED, SCORED_ALL, VOCABULARY, WORDS, documents, scored, table
 
@@ -77,11 +78,17 @@ def piece_vocabulary(spark, folder):
     return T.piece_vocabulary(table(spark, folder, "benchmark"), _docs(spark, folder))
 
 
+_vocabularies: dict[tuple[str, str], str] = {}
+
+
 def vocabulary_file(spark: SparkSession, folder: str) -> str:
-    """The piece table written as a file, as published ones are."""
-    path = new_path(spark, "vocabulary")
-    T.write_vocabulary(piece_vocabulary(spark, folder), path)
-    return path
+    """The piece table written as a file, as published ones are, once in a session."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _vocabularies:
+        path = new_path(spark, "vocabulary")
+        T.write_vocabulary(piece_vocabulary(spark, folder), path)
+        _vocabularies[known] = path
+    return _vocabularies[known]
 
 
 @query("piece_vocabulary_file", ctes(_PIECES) + "SELECT piece, id FROM pieces")
@@ -277,6 +284,56 @@ def training_rows(spark, folder):
     return _packed_report(rows, "split")
 
 
+_BANDED = _TOKENS + "," + ctes(*SCORED_ALL)[5:].rstrip() + f""",
+    bands AS (SELECT * FROM (VALUES {BAND_ROWS}) AS t(band, metric, low, high)),
+    wrapped AS (
+      SELECT b.band, w.ids, row_number() OVER (PARTITION BY b.band ORDER BY md5(s.id || '|42'), s.id) - 1 AS ordinal
+      FROM scored s JOIN token_ids w ON w.doc_id = s.id JOIN bands b ON b.metric = 'none'
+        OR CASE b.metric WHEN 'sjr' THEN s.sjr WHEN 'h-index' THEN s.h_index ELSE s.random END BETWEEN b.low AND b.high),
+    spans AS (
+      SELECT band, ordinal // 64 AS batch, ids, sum(len(ids)) OVER (PARTITION BY band, ordinal // 64 ORDER BY ordinal) - len(ids) AS start
+      FROM wrapped),
+    tokens AS (
+      SELECT band, batch, start + i AS pos, ids[i + 1] AS id, i = 0 OR i = len(ids) - 1 AS special
+      FROM (SELECT band, batch, ids, start, unnest(range(len(ids))) AS i FROM spans)),
+    packed AS (
+      SELECT band, batch, CAST(pos // 128 AS BIGINT) AS chunk, list(id ORDER BY pos) AS ids, list(special ORDER BY pos) AS special
+      FROM tokens GROUP BY ALL)"""
+
+
+@query("packed_rows_by_band", _BANDED + _PACKED_COLUMNS.format(128).replace("SELECT", "SELECT band,", 1))
+def packed_rows_by_band(spark, folder):
+    """The training rows of all ten bands from one pass over the shuffled tokens."""
+    scores = scored(spark, folder).select(F.col("id").alias("doc_id"), "sjr", "h_index", "random")
+    tokens = staged(_packable(spark, folder).join(scores, "doc_id"), "scored_tokens")
+    return _packed_report(T.pack_bands(tokens, "doc_id", BANDS, PACK_LENGTH, batch_size=PACK_BATCH, digits=1), "band")
+
+
+# Requests that are unset, below and above what a model takes.
+_REQUESTS = ((None, 4096, 1024), (96, 512, 96), (900, 128, 128))
+
+
+@query("packed_to_sequence_length", _TOKENS + f""",
+    {ORDERED},
+    wrapped AS (SELECT o.ordinal, t.ids FROM token_ids t JOIN ordered o ON o.doc_id = t.doc_id),
+    spans AS (
+      SELECT l.length, ordinal // 64 AS batch, ids, sum(len(ids)) OVER (PARTITION BY l.length, ordinal // 64 ORDER BY ordinal) - len(ids) AS start
+      FROM wrapped, (VALUES {", ".join(f"({length})" for *_, length in _REQUESTS)}) l(length)),
+    tokens AS (
+      SELECT length, batch, start + i AS pos, ids[i + 1] AS id, i = 0 OR i = len(ids) - 1 AS special
+      FROM (SELECT length, batch, ids, start, unnest(range(len(ids))) AS i FROM spans)),
+    packed AS (
+      SELECT length, batch, CAST(pos // length AS BIGINT) AS chunk, list(id ORDER BY pos) AS ids, list(special ORDER BY pos) AS special
+      FROM tokens GROUP BY ALL)""" + _PACKED_COLUMNS.replace("{0}", "length").replace("SELECT", "SELECT CAST(length AS INTEGER) AS length,", 1))
+def packed_to_sequence_length(spark, folder):
+    """Rows as long as the request and the model allow."""
+    tokens, parts = _packable(spark, folder), []
+    for requested, model_max, _ in _REQUESTS:
+        length = T.sequence_length(requested, model_max)
+        parts.append(T.pack_shuffled(tokens, "doc_id", length, batch_size=PACK_BATCH).withColumn("length", F.lit(length)))
+    return _packed_report(parts[0].unionByName(parts[1]).unionByName(parts[2]), "length")
+
+
 @query("first_packed_rows", _packed_sql(PACK_LENGTH, PACK_BATCH) + _PACKED_COLUMNS.format(PACK_LENGTH) + """
     ORDER BY batch, chunk LIMIT 200""")
 def first_packed_rows(spark, folder):

@@ -10,7 +10,7 @@ CORPUS = [
     "band_membership", "band_summary", "scored_articles", "nearest_year_metric", "journal_lookup_salted",
     "global_ordinal", "train_validation_split", "first_half", "word_token_ids", "tokenised", "packed_rows",
     "masked_tokens", "masked_sentences", "aligned_all_pieces", "entity_scores", "chunk_matches",
-    "percentiles_random", "run_grid",
+    "percentiles_random", "run_grid", "band_table_membership", "band_table_summary", "packed_rows_by_band", "tokenised_native",
 ]
 
 
@@ -51,3 +51,16 @@ def test_summary_sends_one_row_per_task(spark, folder):
 
 def test_token_counts_combine_before_the_shuffle(spark, folder):
     assert "partial_sum" in plan(QUERIES["entity_scores"](spark, folder))
+
+
+def test_all_bands_share_one_exchange_of_the_arrays(spark, folder):
+    """Before bands multiply the rows the arrays move once, by bucket; after it only batches across buckets do."""
+    text = plan(QUERIES["packed_rows_by_band"](spark, folder))
+    inside, across = text.split("Union")[1].split("Generate explode(sequence")[1:3]
+    assert "hashpartitioning(_bucket" in inside and not any("band" in line for line in inside.splitlines() if "Exchange hash" in line)
+    assert sum("band" in line for line in across.splitlines() if "Exchange hash" in line) == 1
+
+
+def test_native_pieces_need_no_python(spark, folder):
+    text = plan(QUERIES["tokenised_native"](spark, folder))
+    assert "Arrow" not in text and "Python" not in text and "Arrow" in plan(QUERIES["tokenised"](spark, folder))
