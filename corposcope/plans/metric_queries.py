@@ -401,21 +401,96 @@ def combined_score(spark, folder):
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select(
         "vec_id", F.slice("embedding", 2, 63).alias("v"),
-        (F.col("label") + F.col("embedding")[0]).alias("similarity"),
+        (F.col("label").cast("double") + F.col("embedding")[0]).alias("similarity"),
     )
-    return G.as_features(rows, "v", "similarity", "vec_id")
+    return G.as_features(rows, "v", "similarity", "vec_id", folds=FOLDS)
 
 
-@query("similarity_regression")
+FOLDS, SHARDS, EPOCHS = 3, 4, 3
+
+
+def _draw_sql(purpose: str, values: int) -> str:
+    return f"CAST(('0x' || substr(md5(vec_id || '|{purpose}|42'), 1, 8)) AS BIGINT) % {values}"
+
+
+_FEATURES = f"""
+features AS (
+  SELECT vec_id, CAST(embedding[2:64] AS DOUBLE[]) AS x, CAST(label AS DOUBLE) + CAST(embedding[1] AS DOUBLE) AS y, {_draw_sql("fold", FOLDS)} AS fold,
+    {_draw_sql("shard", SHARDS)} AS shard, md5(vec_id || '|order|42') AS at FROM embeddings)
+"""
+
+
+def _descent_sql(models: str, rows: str) -> str:
+    """Epochs of descent, a CTE each: every shard folds its rows into the weights, which are averaged."""
+    parts = [f"""
+models AS (SELECT * FROM (VALUES {models}) t(alpha, eta0, without)),
+used AS (SELECT * FROM features WHERE {rows}),
+steps AS (SELECT shard, count(*) AS n FROM used GROUP BY shard),
+epoch0 AS (SELECT alpha, eta0, without, [0.0::DOUBLE FOR i IN range(63)] AS w, 0.0::DOUBLE AS b FROM models)"""]
+    for k in range(EPOCHS):
+        parts.append(f"""
+lists{k} AS (
+  SELECT m.alpha, m.eta0, m.without, u.shard, count(*) FILTER (WHERE fold <> without) AS n,
+    list_concat([{{'x': []::DOUBLE[], 'y': 0.0::DOUBLE, 'f': -1::BIGINT, 'w': any_value(m.w), 'b': any_value(m.b), 't': {k} * any_value(s.n)}}],
+      list({{'x': u.x, 'y': u.y, 'f': u.fold, 'w': []::DOUBLE[], 'b': 0.0::DOUBLE, 't': 0::BIGINT}} ORDER BY u.at, u.vec_id)) AS rows
+  FROM epoch{k} m, used u JOIN steps s ON s.shard = u.shard GROUP BY m.alpha, m.eta0, m.without, u.shard),
+shards{k} AS (
+  SELECT alpha, eta0, without, shard, n, list_reduce(rows, lambda s, r: CASE WHEN r.f = without
+      THEN {{'x': []::DOUBLE[], 'y': 0.0::DOUBLE, 'f': -1::BIGINT, 'w': s.w, 'b': s.b, 't': s.t + 1}}
+      ELSE list_transform([{{'eta': eta0 / (s.t + 1) ** 0.25, 'e': list_dot_product(s.w, r.x) + s.b - r.y}}], lambda g: {{'x': []::DOUBLE[], 'y': 0.0::DOUBLE, 'f': -1::BIGINT,
+        'w': list_transform(list_zip(s.w, r.x), lambda z: z[1] * greatest(1 - g.eta * alpha, 0) - g.eta * g.e * z[2]), 'b': s.b - g.eta * g.e, 't': s.t + 1}})[1] END) AS last
+  FROM lists{k}),
+epoch{k + 1} AS (
+  SELECT alpha, eta0, without, list(w ORDER BY i) AS w, any_value(b) AS b FROM (
+    SELECT alpha, eta0, without, i, sum(n * last.w[i]) / sum(n) AS w, sum(n * last.b) / sum(n) AS b
+    FROM shards{k}, range(1, 64) r(i) GROUP BY alpha, eta0, without, i) GROUP BY alpha, eta0, without)""")
+    return ",".join(parts)
+
+
+@query("similarity_regression", "WITH " + _FEATURES + "," + _descent_sql("(0.0001::DOUBLE, 0.01::DOUBLE, -1)", "vec_id % 5 <> 0") + f"""
+    SELECT count(*) AS n, round(corr(p, y), 6) AS pearsonr, round(avg((p - y) ** 2), 6) AS mse FROM (
+      SELECT list_dot_product(m.w, f.x) + m.b AS p, y FROM features f, epoch{EPOCHS} m WHERE vec_id % 5 = 0)""")
 def similarity_regression(spark, folder):
-    """Fit on four fifths of the vectors, predict the rest, correlate. Iterative, so no SQL."""
+    """Descend on four fifths of the vectors, predict the rest, correlate."""
     rows = _pairs(spark, folder)
-    test = G.fit_and_predict(rows.where("vec_id % 5 <> 0"), rows.where("vec_id % 5 = 0"))
-    return M.pearson(test, "prediction", "label", pvalue=True)
+    [model] = G.descend(rows.where("vec_id % 5 <> 0"), [G.Descent(1e-4, 1e-2)], key="vec_id", max_iter=EPOCHS, tol=None, shards=SHARDS)
+    test = G.predicted(rows.where("vec_id % 5 = 0"), model.weights, model.intercept)
+    mse = F.avg(F.pow(F.col("prediction") - F.col("y"), 2.0))
+    return test.agg(F.count("*").alias("n"), F.round(F.corr("prediction", "y"), 6).alias("pearsonr"), F.round(mse, 6).alias("mse"))
+
 
+ALPHAS, RATES = (1e-4, 1e-1), (1e-3, 1e-2)
+_GRID = ", ".join(f"({a}::DOUBLE, {e}::DOUBLE, {f})" for a in ALPHAS for e in RATES for f in range(FOLDS))
 
-@query("similarity_grid_search")
+
+@query("similarity_grid_search", "WITH " + _FEATURES + "," + _descent_sql(_GRID, "true") + f""",
+    scores AS (
+      SELECT alpha, eta0, avg(mse) AS mse FROM (
+        SELECT m.alpha, m.eta0, m.without, avg((list_dot_product(m.w, f.x) + m.b - y) ** 2) AS mse
+        FROM epoch{EPOCHS} m JOIN features f ON f.fold = m.without GROUP BY ALL) GROUP BY ALL)
+    SELECT alpha, eta0, round(mse, 6) AS mse, mse = min(mse) OVER () AS best FROM scores""")
 def similarity_grid_search(spark, folder):
-    """Cross-validated penalties with their error. Folds are drawn at random, so no SQL."""
-    _, scores = G.grid_search(_pairs(spark, folder), alphas=[1e-4, 1e-2, 1.0], folds=3, max_iter=20)
-    return spark.createDataFrame(scores, "alpha double, mse double")
+    """Cross-validated penalties and rates with their error; all learn in the same passes."""
+    scores, _ = G.grid_search(
+        _pairs(spark, folder), key="vec_id", alphas=list(ALPHAS), eta0s=list(RATES), folds=FOLDS, max_iter=EPOCHS, tol=None, shards=SHARDS, refit=False
+    )
+    best = min(score for *_, score in scores)
+    return spark.createDataFrame([(a, e, round(m, 6), m == best) for a, e, m in scores], "alpha double, eta0 double, mse double, best boolean")
+
+
+@query("ridge_normal_equations", "WITH " + _FEATURES + f""",
+    entries AS (SELECT fold, y, unnest(range(1, 65)) AS i, list_append(x, 1.0::DOUBLE) AS z FROM features),
+    cross_sums AS (SELECT g.without, e.i, sum(e.z[e.i] * e.y) AS c FROM entries e JOIN range({FOLDS}) g(without) ON e.fold <> g.without GROUP BY ALL)
+    SELECT a.alpha, CAST(without AS INTEGER) AS without, CAST(i AS INTEGER) AS i, round(c, 3) AS cross FROM cross_sums, (VALUES (0.0001::DOUBLE), (0.01::DOUBLE), (1.0::DOUBLE)) a(alpha)""")
+def ridge_normal_equations(spark, folder):
+    """Ridge weights of every penalty without each fold, from one aggregate: put back into the equations
+    they solve, they give the sums of the data."""
+    moments = G.fold_moments(_pairs(spark, folder), 63)
+    rows = []
+    for alpha in (1e-4, 1e-2, 1.0):
+        for fold, own in moments.items():
+            rest = sum([m for f, m in moments.items() if f != fold][1:], start=[m for f, m in moments.items() if f != fold][0])
+            w = rest.ridge(alpha)
+            left = rest.gram @ w + alpha * rest.n * (w * ([1.0] * 63 + [0.0]))
+            rows += [(alpha, fold, i + 1, round(float(v), 3)) for i, v in enumerate(left)]
+    return spark.createDataFrame(rows, "alpha double, without int, i int, cross double")
