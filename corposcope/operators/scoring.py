@@ -214,13 +214,3 @@ def exact_percentiles(df: DataFrame, column: str, percents: list[float] = PERCEN
     low, high = F.min("v"), F.max("v")
     part = F.first(F.col("_at") - F.floor("_at"))
     return hits.groupBy("pct").agg((low + part * (high - low)).alias("value"))
-
-
-def approx_percentiles(
-    df: DataFrame, column: str, percents: list[float] = PERCENT_STEPS, accuracy: int = 10_000
-) -> DataFrame:
-    """The same from one pass over the rows, within ``1 / accuracy`` of the rank."""
-    shares = F.array(*[F.lit(p / 100) for p in percents])
-    row = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, accuracy).alias("v"))
-    pcts = F.array(*[F.lit(float(p)) for p in percents])
-    return row.select(F.inline(F.arrays_zip(pcts.alias("pct"), F.col("v").alias("value"))))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.keys import uniform
 from ..functions.text import strip_markup
-from ..operators import cleaning, journals as J, scoring as S
+from ..operators import cleaning, figures as FG, journals as J, scoring as S
 from ..operators.bands import band_table_membership as band_membership_of, band_table_summary as band_summary_of
 from ..operators.lookup import lookup_join
 from ..session import new_path, staged
@@ -606,6 +606,53 @@ def percentiles_random(spark, folder):
     return _rounded(S.exact_percentiles(scored(spark, folder), "random"))
 
 
-@query("percentiles_approximate")
+# The sketch promises ranks within its error; the neighbours of a percentile by twice as much are exact.
+_SLACK = 200 * FG.RANK_ERROR
+_STEPS = [p + side * _SLACK for p in S.PERCENT_STEPS for side in (-1, 1)]
+
+
+def _between_sql(metric: str, column: str) -> str:
+    shares = [p / 100 for p in _STEPS]
+    return f"""
+    SELECT '{metric}' AS metric, pct, round(vs[2 * i - 1], 8) AS low, round(vs[2 * i], 8) AS high, true AS inside FROM (
+      SELECT unnest(range(1, {len(S.PERCENT_STEPS)} + 1)) AS i, unnest({S.PERCENT_STEPS!r}::DOUBLE[]) AS pct,
+        quantile_cont({column}::DOUBLE, {shares!r}::DOUBLE[]) AS vs FROM scored)"""
+
+
+@query("percentiles_approximate", ctes(*SCORED_ALL) + " UNION ALL ".join(_between_sql(m, c) for m, c in S.METRIC_COLUMNS.items()))
 def percentiles_approximate(spark, folder):
-    return S.approx_percentiles(scored(spark, folder), "random")
+    """Percentiles from the merged sketches of the shards, between the exact values around them."""
+    rows = staged(scored(spark, folder).withColumn("shard", F.col("id") % 16), "scored")
+    path = new_path(spark, "figures")
+    FG.store_figures(FG.shard_figures(rows, F.size(F.split("text", " "))), path)
+    sketched = FG.merged_percentiles(FG.read_figures(spark, path))
+    parts = []
+    for metric, column in S.METRIC_COLUMNS.items():
+        exact = S.exact_percentiles(rows, column, _STEPS).withColumn("pct", F.round("pct", 6))
+        sides = [
+            exact.select(F.round(F.col("pct") + sign * _SLACK, 3).alias("pct"), F.round("value", 8).alias(side))
+            .where(F.col("pct").isin(S.PERCENT_STEPS))
+            for side, sign in (("low", 1), ("high", -1))
+        ]
+        parts.append(sides[0].join(sides[1], "pct").withColumn("metric", F.lit(metric)))
+    around = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    inside = (F.round("value", 8) >= F.col("low")) & (F.round("value", 8) <= F.col("high"))
+    return sketched.join(around, ["metric", "pct"]).select("metric", "pct", "low", "high", inside.alias("inside"))
+
+
+@query("figures_of_the_intake", ctes(*SCORED_ALL, _MEMBERS) + """
+    SELECT b.band, count(m.id) AS documents, CAST(coalesce(sum(len(string_split(m.text, ' '))), 0) AS BIGINT) AS tokens,
+      (SELECT count(*) FROM scored) AS articles, (SELECT CAST(sum(strlen(text)) AS BIGINT) FROM scored) AS bytes
+    FROM bands b LEFT JOIN members m ON m.band = b.band GROUP BY b.band""")
+def figures_of_the_intake(spark, folder):
+    """Shards come in three times, and one batch again; the merged rows are the figures of the corpus."""
+    path = new_path(spark, "figures")
+    rows = staged(scored(spark, folder).withColumn("shard", F.concat(F.lit("shard"), F.col("id") % 12)), "scored")
+    rows = rows.withColumn("_batch", F.col("id") % 12 % 3)
+    for batch in (0, 1, 2, 1):
+        FG.store_figures(FG.shard_figures(rows.where(F.col("_batch") == batch), F.size(F.split("text", " "))), path)
+    figures = FG.read_figures(spark, path)
+    totals = FG.merged_corpus(figures).first()
+    return FG.merged_bands(figures).select(
+        "band", "documents", "tokens", F.lit(totals["articles"]).alias("articles"), F.lit(totals["bytes"]).alias("bytes")
+    )

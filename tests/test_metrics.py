@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from corposcope.operators import metrics as M
 
@@ -86,9 +87,13 @@ def test_pearson(spark):
     assert round(got["p_value"], 2) == 0.15
 
 
+def pvalue(spark, r, n):
+    return spark.createDataFrame([(r, n)], "r double, n long").select(M.pearson_pvalue(F.col("r"), F.col("n"))).first()[0]
+
+
 @pytest.mark.parametrize("n", [3, 4, 6, 12, 200])
 @pytest.mark.parametrize("r", [0.02, 0.3, 0.8, 0.99])
-def test_pvalue_against_integration(r, n):
+def test_pvalue_against_integration(spark, r, n):
     """The tail equals the numeric integral of the density (1 - x^2)^(n/2 - 2)."""
     a = n / 2 - 1
 
@@ -99,7 +104,18 @@ def test_pvalue_against_integration(r, n):
         return sum(math.cos(lo + (i + 0.5) * h) ** (2 * a - 1) for i in range(steps)) * h
 
     expected = 1 - mass(0, r) / mass(0, 1)
-    assert M._beta_tail(a, 0.5, 1 - r * r) == pytest.approx(expected, abs=1e-6)
+    assert pvalue(spark, r, n) == pytest.approx(expected, abs=1e-6)
+
+
+def test_pvalues_at_the_ends(spark):
+    """Closed forms: three pairs give an arc, four a line; very many pairs are normal."""
+    for r in (1e-9, 0.1, 0.7, 0.999999):
+        assert pvalue(spark, r, 3) == pytest.approx(1 - 2 * math.asin(r) / math.pi, rel=1e-9)
+        assert pvalue(spark, -r, 4) == pytest.approx(1 - r, rel=1e-9)
+    z = 2.5
+    assert pvalue(spark, z / 1e5, 10**10) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-8)
+    assert [pvalue(spark, r, n) for r, n in ((1.0, 9), (-1.0, 3), (0.5, 2), (0.0, 7))] == [0, 0, 1, pytest.approx(1)]
+    assert [pvalue(spark, r, n) for r, n in ((None, 9), (math.nan, 9), (0.5, 1))] == [None] * 3
 
 
 def test_perplexity_overflows_to_infinity(spark):
