@@ -139,7 +139,7 @@ def train_validation_split(
     The boundary row is found first from counts and one bucket; the corpus is
     then tagged by comparing keys, which needs no shuffle.
     """
-    _check_fraction(fraction)
+    check_fraction(fraction)
     share = Fraction(str(fraction))
     num, den = share.numerator, share.denominator
     held_out = F.expr(f"(_total * {num} + {den - 1}) div {den}")
@@ -150,13 +150,13 @@ def train_validation_split(
 
 def hashed_split(df: DataFrame, key: str, fraction: float = 0.01, *, seed: int = 42) -> DataFrame:
     """Add ``split`` from a threshold on the hash: about ``fraction``, in a single pass."""
-    _check_fraction(fraction)
+    check_fraction(fraction)
     limit = format(int((1 - Fraction(str(fraction))) * 2**52), "013x")
     train = F.substring(hash_key(key, seed=seed), 1, 13) < F.lit(limit)
     return df.withColumn("split", F.when(train, "train").otherwise("validation"))
 
 
-def _check_fraction(fraction: float) -> None:
+def check_fraction(fraction: float) -> None:
     if not 0 < fraction < 1:
         raise ValueError("the validation fraction must lie strictly between 0 and 1")
 

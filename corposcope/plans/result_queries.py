@@ -40,6 +40,14 @@ def result_files(spark, folder):
     return RS.scan_results(spark, _write_results(spark, folder))
 
 
+@query("result_files_compacted", ctes(RECORDS, _LONG) + "SELECT run, metric, value FROM long")
+def result_files_compacted(spark, folder):
+    """The same from one table that the many small files were packed into."""
+    path = new_path(spark, "compacted")
+    RS.compact_results(spark, _write_results(spark, folder), path)
+    return spark.read.schema("run string, metric string, value double").parquet(path)
+
+
 @query("result_columns", ctes(RECORDS) + "SELECT run, accuracy, f1, recall, pearsonr FROM records")
 def result_columns(spark, folder):
     """Ragged records as one table, missing metrics null."""

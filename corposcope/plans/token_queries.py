@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.arrays import fixed_length, truncated
 from ..operators import tokens as T
 from ..operators.scoring import BANDS, Band
+from ..operators.token_store import pack_stored, split_stored, store_tokens
 from ..operators.word_pieces import tokenise_native
 from ..session import new_path, staged
 from ..sources.records import scan_vocabulary
@@ -309,6 +310,36 @@ def packed_rows_by_band(spark, folder):
     return _packed_report(T.pack_bands(tokens, "doc_id", BANDS, PACK_LENGTH, batch_size=PACK_BATCH, digits=1), "band")
 
 
+_PACKS = ((128, 64), (512, 256))
+
+
+@query("packed_from_store", _TOKENS + f""",
+    {ORDERED},
+    wrapped AS (SELECT o.ordinal, t.ids FROM token_ids t JOIN ordered o ON o.doc_id = t.doc_id),
+    spans AS (
+      SELECT l.length, ordinal // l.size AS batch, ids, sum(len(ids)) OVER (PARTITION BY l.length, ordinal // l.size ORDER BY ordinal) - len(ids) AS start
+      FROM wrapped, (VALUES {", ".join(map(str, _PACKS))}) l(length, size)),
+    tokens AS (
+      SELECT length, batch, start + i AS pos, ids[i + 1] AS id, i = 0 OR i = len(ids) - 1 AS special
+      FROM (SELECT length, batch, ids, start, unnest(range(len(ids))) AS i FROM spans)),
+    packed AS (
+      SELECT length, batch, CAST(pos // length AS BIGINT) AS chunk, list(id ORDER BY pos) AS ids, list(special ORDER BY pos) AS special
+      FROM tokens GROUP BY ALL)""" + _PACKED_COLUMNS.replace("{0}", "length").replace("SELECT", "SELECT CAST(length AS INTEGER) AS length,", 1))
+def packed_from_store(spark, folder):
+    """Two packings of one stored order; neither moves the arrays again."""
+    store = store_tokens(_packable(spark, folder), "doc_id", slab_rows=256, digits=1)
+    short, long = (pack_stored(spark, store, n, batch_size=size).withColumn("length", F.lit(n)) for n, size in _PACKS)
+    return _packed_report(short.unionByName(long), "length")
+
+
+@query("split_from_store", ctes(ORDERED) + """
+    SELECT doc_id, ordinal, CASE WHEN ordinal >= total - ceil(total / 20.0) THEN 'validation' ELSE 'train' END AS split FROM ordered""")
+def split_from_store(spark, folder):
+    """The tail of the stored order is held out by a comparison of positions."""
+    store = store_tokens(documents(spark, folder).select("doc_id"), "doc_id", slab_rows=128)
+    return split_stored(spark, store, 0.05).select("doc_id", "ordinal", "split")
+
+
 # Requests that are unset, below and above what a model takes.
 _REQUESTS = ((None, 4096, 1024), (96, 512, 96), (900, 128, 128))
 

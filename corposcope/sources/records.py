@@ -27,6 +27,24 @@ def scan_results(spark: SparkSession, path: str | list[str], *, pattern: str = "
     )
 
 
+# A file costs about as much to open as so many bytes to read.
+OPEN_BYTES = 64 << 10
+
+
+def compact_results(spark: SparkSession, path: str | list[str], target: str, *, task_bytes: int = 128 << 20, pattern: str = "*.json") -> int:
+    """Metric records of many small files as one parquet table ``run, metric, value`` under ``target``; the number of its tasks.
+
+    The files are listed with their sizes first, not read; as many tasks as their bytes and openings ask for then read
+    all of them, neighbours together, so a hundred thousand files are a few dozen tasks and as many files.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    sizes = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    tasks = max(-(-(sizes["bytes"] + sizes["n"] * OPEN_BYTES) // task_bytes), 1)
+    # Merging the read tasks needs no exchange.
+    scan_results(spark, path, pattern=pattern).coalesce(tasks).write.parquet(target)
+    return tasks
+
+
 def scan_result_columns(spark: SparkSession, path: str | list[str], metrics: list[str], **options) -> DataFrame:
     """The same with one column per metric; a metric a run lacks is null."""
     from ..functions.text import metric_name

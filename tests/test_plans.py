@@ -64,3 +64,9 @@ def test_all_bands_share_one_exchange_of_the_arrays(spark, folder):
 def test_native_pieces_need_no_python(spark, folder):
     text = plan(QUERIES["tokenised_native"](spark, folder))
     assert "Arrow" not in text and "Python" not in text and "Arrow" in plan(QUERIES["tokenised"](spark, folder))
+
+
+def test_packs_from_a_store_move_nothing(spark, folder):
+    text = plan(QUERIES["packed_from_store"](spark, folder))
+    assert text.count("Bucketed: true") == 2 and "Exchange" not in text
+    assert "Exchange" not in plan(QUERIES["split_from_store"](spark, folder))
