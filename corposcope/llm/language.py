@@ -20,6 +20,10 @@ from .common import SLICE_BYTES, crc_share, mix64, owners, slices, split_words
 UNKNOWN = "und"
 # A text in which no language reaches this share of the words is not of a known language.
 LEAST_SCORE = 0.35
+# Nor is one most of whose words are strange: so many standard deviations below the usual spelling of any language.
+STRANGE_WORD, MOST_STRANGE, SPARE_WORDS = -1.0, 0.5, 2
+# Hashed runs of three characters, word ends included, that the spelling of a language is judged by.
+GRAMS = 1 << 16
 # Bounds of the training sample: rows of a language (expected), and characters of a row's excerpt.
 ROWS = 250
 EXCERPT = 2000
@@ -35,7 +39,10 @@ _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 def bare(word: str) -> str:
     """A word in lower case without marks and digits at its ends; empty without a letter."""
     word = word.lower()
-    return word if word.isalpha() else _EDGES.sub("", word)
+    if word.isalpha():
+        return word
+    inner = _EDGES.sub("", word)
+    return inner if any(map(str.isalpha, inner)) else ""
 
 
 def char_hashes(words: list[str], width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -83,6 +90,47 @@ def word_hash(words: list[str]) -> np.ndarray:
     return mix64(total[ends] - total[starts])
 
 
+def gram_counts(words: list[str], counts: np.ndarray) -> np.ndarray:
+    """How often each hashed run of three characters occurs in distinct ``words`` that occur ``counts`` times."""
+    codes, owner = spelled_grams(words)
+    return np.bincount(codes, counts[owner], GRAMS)
+
+
+def spelled_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    starts, ends, hashes = char_hashes([f"^{w}$" for w in words], 3)
+    of = np.repeat(np.arange(len(words)), ends - starts)
+    at = np.flatnonzero(np.arange(len(of)) + 3 <= ends[of])
+    return (mix64(hashes[2][at]) & np.uint64(GRAMS - 1)).astype(np.int64), of[at]
+
+
+def spelling_scores(words: list[str], spelling: np.ndarray) -> np.ndarray:
+    """The mean logarithm of the runs of each word, in each language."""
+    codes, owner = spelled_grams(words)
+    n = np.maximum(np.bincount(owner, minlength=len(words)), 1)
+    return np.stack([np.bincount(owner, spelling[codes, k], len(words)) / n for k in range(spelling.shape[1])], axis=1)
+
+
+def learn_spelling(texts: list[tuple[int, list[str]]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the runs of all ``texts`` (language, words); what is usual comes from words judged by the other half."""
+
+    def logs(part: list[tuple[int, list[str]]]) -> np.ndarray:
+        counts = np.zeros((GRAMS, width))
+        for k in range(width):
+            words, n = np.unique([w for lang, ws in part if lang == k for w in ws], return_counts=True)
+            if len(words):
+                counts[:, k] = gram_counts(words.tolist(), n)
+        return np.log((counts + 0.05) / (counts.sum(axis=0) + 0.05 * GRAMS)).astype(np.float32)
+
+    scores: list[list[np.ndarray]] = [[] for _ in range(width)]
+    for half in (0, 1):
+        learnt = logs([t for i, t in enumerate(texts) if i % 2 != half])
+        for lang, words in texts[half::2]:
+            if words:
+                scores[lang].append(spelling_scores(words, learnt)[:, lang])
+    usual = np.array([(np.mean(np.concatenate(x)), np.std(np.concatenate(x))) if x else (0.0, 1.0) for x in scores]).T
+    return logs(texts), usual
+
+
 @dataclass
 class Model:
     """Weights of the field. ``lexicon`` has sorted word hashes and ``member`` the languages of each."""
@@ -93,6 +141,17 @@ class Model:
     member: np.ndarray
     lexicon_weights: np.ndarray
     transitions: np.ndarray
+    # Logarithms of how often runs of characters occur in each language, and the mean and deviation that the
+    # words of a language have by them.
+    spelling: np.ndarray | None = None
+    usual: np.ndarray | None = None
+
+    def strange(self, words: list[str]) -> np.ndarray:
+        """Words that are in no lexicon and spelled like none of the languages: unlike the chances, which add up to 1
+        over the languages there are, this does not depend on how the languages compare with each other."""
+        mean, deviation = self.usual
+        likeness = ((spelling_scores(words, self.spelling) - mean) / np.maximum(deviation, 1e-6)).max(axis=1)
+        return (likeness < STRANGE_WORD) & (self.membership(words)[:, -1] > 0)
 
     def membership(self, words: list[str]) -> np.ndarray:
         """1 for each lexicon that has the word, and a last column that is 1 for a word in none."""
@@ -149,8 +208,10 @@ def train(samples: list[tuple[str, str]], *, seed: int = 7) -> Model:
     number = {lang: i for i, lang in enumerate(languages)}
     streams: list[list[str]] = [[] for _ in languages]
     seen: dict[str, np.ndarray] = {}
+    texts = []
     for lang, text in samples:
         words = [w for w in map(bare, text.split()) if w]
+        texts.append((number[lang], words))
         streams[number[lang]] += words
         for w in set(words):
             seen.setdefault(w, np.zeros(len(languages), np.int64))[number[lang]] += 1
@@ -162,7 +223,7 @@ def train(samples: list[tuple[str, str]], *, seed: int = 7) -> Model:
     width = len(languages)
     model = Model(
         languages, np.zeros((FEATURES, width), np.float32), hashes[order], member,
-        np.zeros((width + 1, width), np.float32), np.zeros((width, width), np.float32),
+        np.zeros((width + 1, width), np.float32), np.zeros((width, width), np.float32), *learn_spelling(texts, width),
     )
     if not streams_of:
         return model
@@ -248,36 +309,39 @@ def fit(docs: DataFrame, *, rows: int = ROWS) -> Model:
     return train(training_sample(columns.dropna(), rows=rows))
 
 
-def with_language(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+def with_language(docs: DataFrame, model: Model, *, text: str = "text", strange: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the language with the largest mean chance over the
     words of the whole text, and that mean.
 
     A null text, one without a letter, and every text under a model of no language get ``und`` and
     0. Ties go to the language that sorts first. Columns of these names are replaced; no other column is
-    looked at. Words go through in slices, so memory follows the longest text, not the batch.
+    looked at. Words go through in slices, so memory follows the longest text, not the batch. With ``strange`` there is
+    a column of this name, the share of words, but for the first ``SPARE_WORDS`` of them, that are spelled like no language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<lang: string, score: double>")
+    @F.arrow_udf("struct<lang: string, score: double, strange: double>")
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            parts = [_labels(part.column(0), model) for part in slices(pa.record_batch([texts], ["t"]), "t", SLICE_BYTES // 2)]
+            parts = [_labels(part.column(0), model, strange) for part in slices(pa.record_batch([texts], ["t"]), "t", SLICE_BYTES // 2)]
             langs = [x for part in parts for x in part[0]]
-            scores = np.concatenate([part[1] for part in parts]) if parts else np.zeros(0)
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], ["lang", "score"])
+            scores, usual = (np.concatenate([part[k] for part in parts]) if parts else np.zeros(0) for k in (1, 2))
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores), pa.array(usual)], ["lang", "score", "strange"])
 
     found = docs.drop("lang_pred", "score", "_found").withColumn("_found", label(F.col(text).cast("string")))
+    if strange:
+        found = found.withColumn("strange", F.col("_found.strange"))
     return found.withColumn("lang_pred", F.col("_found.lang")).withColumn("score", F.col("_found.score")).drop("_found")
 
 
-def _labels(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
+def _labels(texts: pa.Array, model: Model, strange: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
     rows = len(texts)
     distinct, codes, ends = split_words(texts)
     forms = [bare(w) for w in distinct.to_pylist()]
     words = sorted({w for w in forms if w})
     if not words or not model.languages:
-        return [UNKNOWN] * rows, np.zeros(rows)
+        return [UNKNOWN] * rows, np.zeros(rows), np.zeros(rows)
     number = {w: i for i, w in enumerate(words)}
     codes = np.array([number.get(w, -1) for w in forms])[codes]
     row = owners(ends)[codes >= 0]
@@ -288,14 +352,23 @@ def _labels(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     means /= np.maximum(sizes, 1)[:, None]
     best = means.argmax(axis=1)
     langs = [model.languages[k] if n else UNKNOWN for k, n in zip(best, sizes)]
-    return langs, np.where(sizes > 0, np.clip(means[np.arange(rows), best], 0, 1), 0.0)
+    odd = np.zeros(rows)
+    if strange:
+        odd = np.maximum(np.bincount(row, model.strange(words)[codes], rows) - SPARE_WORDS, 0) / np.maximum(sizes, 1)
+    return langs, np.where(sizes > 0, np.clip(means[np.arange(rows), best], 0, 1), 0.0), odd
+
 
+def keep_identified(docs: DataFrame, *, least: float = LEAST_SCORE, strange: float = MOST_STRANGE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more and is spelled like known ones.
 
-def keep_identified(docs: DataFrame, *, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of ``least`` or more; a text without a letter goes."""
+    A text without a letter goes, and so does one in which more than a share of ``strange`` of the words is in no lexicon
+    and spelled like no language; ``SPARE_WORDS`` are not counted, so the shortest texts stay. Repeated rows share
+    their fate, null ids and other columns are kept as they are, an empty table stays empty. Without a
+    row that has text, language and id there is no known language and everything goes.
+    """
     model = fit(docs.where(~held_out()))
-    found = with_language(docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns}), model, text="_in_text")
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    found = with_language(docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns}), model, text="_in_text", strange=True)
+    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least) & (F.col("strange") <= strange))
     return kept.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
 
 

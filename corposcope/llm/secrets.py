@@ -110,14 +110,28 @@ def entropy_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of ``start:end`` outside of ``spans``, from left to right."""
+    out = []
+    for a, b, _ in sorted(spans):
+        if b <= start or a >= end:
+            continue
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return out + [(start, end)] if start < end else out
+
+
 _ORDER = {kind: i for i, kind in enumerate([f[0] for f in FORMS] + ["entropy"])}
 _SPANS = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
 
 def text_spans(text: str) -> list[dict]:
-    """All spans of a text by start, then kind; an entropy span that a known form overlaps is left out."""
-    base = base_spans(text)
-    more = [s for s in entropy_spans(text) if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+    """All spans of a text by start, then kind; what known forms leave of an entropy span is judged again on its own."""
+    base, more = base_spans(text), []
+    for start, end, kind in entropy_spans(text):
+        left = uncovered(start, end, base)
+        more += [(start, end, kind)] if left == [(start, end)] else [(a + x, a + y, kind) for a, b in left for x, y, _ in entropy_spans(text[a:b])]
     ordered = sorted(base + more, key=lambda s: (s[0], _ORDER[s[2]]))
     return [{"kind": kind, "start": start, "end": end} for start, end, kind in ordered]
 

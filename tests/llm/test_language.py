@@ -86,3 +86,38 @@ def test_slices_do_not_change_scores(documents, model):
     together = language._labels(texts, model)[1]
     alone = np.concatenate([language._labels(texts.slice(i, 1), model)[1] for i in range(len(texts))])
     assert together == pytest.approx(alone, abs=1e-5)
+
+
+FOREIGN = [
+    "Это обычный русский текст о том как люди живут и работают в большом городе каждый день вместе с друзьями",
+    "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava",
+    "xqjz vkw pqx zzgk wvjq kxzz qqpv jkwx zvq xkj gqzx wwvk pzqj xvk qzjw kkvx zpqg jxwv qvzk wxjz",
+    "これは 日本語 の 文章 です 東京 で 働く 人々 に ついて 書かれて います",
+]
+
+
+def test_texts_in_no_known_language_go(spark, documents):
+    """Languages that were not learned and gibberish; the chances alone, which add up to 1, keep them all."""
+    ids = range(10**6, 10**6 + len(FOREIGN))
+    foreign = spark.createDataFrame([(i, t, None, "a", 0) for i, t in zip(ids, FOREIGN)], documents.schema)
+    kept = {r.doc_id for r in language.keep_identified(documents.unionByName(foreign)).collect()}
+    assert not kept & set(ids)
+    assert kept == {r.doc_id for r in documents.collect() if any(c.isalpha() for c in r.text or "")}
+
+
+def test_strange_words_restated(documents, model):
+    """A word is strange if no lexicon has it and its runs of three characters are rare in every language."""
+    words = ["und", "xqjz", "thereing", "ночь"]
+    runs = {w: [f"^{w}$"[i : i + 3] for i in range(len(w))] for w in words}
+    for w, odd in zip(words, model.strange(words)):
+        scores = [language.spelling_scores([w], model.spelling)[0, k] for k in range(len(model.languages))]
+        alone = [np.mean([language.spelled_grams([w])[0].size and model.spelling[c, k] for c in language.spelled_grams([w])[0]]) for k in range(len(model.languages))]
+        assert scores == pytest.approx(alone, rel=1e-5) and len(language.spelled_grams([w])[0]) == len(runs[w])
+        z = max((s - m) / d for s, m, d in zip(scores, *model.usual))
+        assert odd == (z < language.STRANGE_WORD and model.membership([w])[0, -1] == 1)
+    assert model.strange(words).tolist() == [False, True, False, True]
+
+
+@pytest.mark.parametrize("text", ["½", "² ²", "Ⅷ", "①②", "12½ ¾", "٣", "_ -", "5₂"])
+def test_numerals_are_no_letters(text, model):
+    assert language._labels(pa.array([text]), model)[0] == ["und"]

@@ -87,3 +87,14 @@ def test_documents_against_brute_force(spark):
     for r in rows:
         assert r.spans == ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(base(r.text), key=lambda s: (s[0], order[s[2]])))
     assert any(r.spans for r in rows)
+
+
+def test_a_known_form_takes_only_its_part_of_a_key():
+    key = "A7f3Kq9ZpL2mXc8VbN4tRy6WsE1uD5gH"
+    found = secrets.text_spans(f"{key}password=abcdef1")
+    assert {"kind": "assign", "start": 32, "end": 48} in found
+    assert [s for s in found if s["kind"] == "entropy"] == [{"kind": "entropy", "start": 0, "end": 32}]
+    # What is left is too short for a window, or its windows are no longer random.
+    assert [s["kind"] for s in secrets.text_spans(f"{key[:15]}password={key}")] == ["assign"]
+    assert secrets.uncovered(3, 20, [(0, 5, "a"), (8, 9, "a"), (8, 12, "b"), (18, 30, "a"), (40, 50, "a")]) == [(5, 8), (12, 18)]
+    assert secrets.uncovered(3, 20, [(0, 30, "a")]) == [] and secrets.uncovered(3, 20, []) == [(3, 20)]
