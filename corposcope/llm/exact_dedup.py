@@ -20,12 +20,12 @@ from .common import LOWER, UPPER, partitions, slices, stored
 
 BLOCK_BYTES = 2048
 _PLACE = pa.struct([("row", pa.int64()), ("pos", pa.int32()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("sha", pa.string())])
-_CUT = pa.schema([("block", pa.binary()), ("places", pa.list_(_PLACE))])
+_CUT = pa.schema([("block", pa.binary()), ("piece", pa.int64()), ("places", pa.list_(_PLACE))])
 
 
 def _cutter(block_bytes: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        row = piece = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
                 places: dict[bytes, list] = {}
@@ -37,7 +37,9 @@ def _cutter(block_bytes: int):
                         place = {"row": row, "pos": pos} | ({} if pos else head)
                         places.setdefault(text[at : at + block_bytes], []).append(place)
                     row += 1
-                yield pa.record_batch([pa.array(places, pa.binary()), pa.array(places.values(), _CUT.field(1).type)], schema=_CUT)
+                pieces = pa.array(range(piece, piece + len(places)), pa.int64())
+                yield pa.record_batch([pa.array(places, pa.binary()), pieces, pa.array(places.values(), _CUT.field(2).type)], schema=_CUT)
+                piece += len(places)
 
     return cut
 
@@ -53,14 +55,16 @@ def block_identities(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Data
     """``(row, doc_id, n_bytes, sha, name)``, one per row of ``docs``: texts (``doc_id``, ``text``) are
     equal after lower-casing A-Z exactly when ``n_bytes`` and ``name`` are. Null counts as empty.
 
-    A slice of a map task sends each distinct block once with all its places, so a block that
-    many copies share is a few rows; its content moves in one shuffle. Later rounds move integers.
+    A slice of a map task has each distinct block once, as a numbered piece with all its places. The pieces are stored; their
+    contents move once to be named, without the places, so a block that many copies share is a row for each
+    slice. The places meet the names by the numbers of the pieces, and later rounds move integers.
     """
     buckets = 8 * partitions(docs.sparkSession)
     cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = cut.mapInArrow(_cutter(block_bytes), "block binary, places array<struct<row: bigint, pos: int, doc_id: bigint, n_bytes: bigint, sha: string>>")
-    named = blocks.select("places", _name(buckets, "block").alias("name"))
-    named = stored(named.select("name", F.inline("places")), "blocks")
+    blocks = cut.mapInArrow(_cutter(block_bytes), "block binary, piece long, places array<struct<row: bigint, pos: int, doc_id: bigint, n_bytes: bigint, sha: string>>")
+    blocks = stored(blocks, "pieces")
+    names = blocks.select("piece", _name(buckets, "block").alias("name"))
+    named = stored(blocks.select("piece", "places").join(names, "piece").select("name", F.inline("places")), "blocks")
     heads = named.where("pos = 0").select("row", "doc_id", "n_bytes", "sha")
     longest = heads.agg(F.max("n_bytes")).first()[0] or 0
     rounds = max(-(-longest // block_bytes) - 1, 0).bit_length()

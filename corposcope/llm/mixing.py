@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.ordering import with_sorted_ordinal
 from .common import WORD, stored
 
 # Fixed values of the mix: weights by source order, share of all words, copies at most.
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-STEPS = 40
 TOLERANCE = 1e-7
+# Newton steps and rounds of filling sources; far more than either takes, and going beyond them is an error.
+STEPS = 500
 # Documents of one source and size whose copies are dealt out in one sorted group.
 CELL_ROWS = 20_000
 # Single documents per source whose copies change by one to bring the words closer to the target.
@@ -33,24 +35,29 @@ def source_targets(
 ) -> DataFrame:
     """``(source, source_size, target)`` from rows ``(source, size, n)``.
 
-    A target is ``min(most * source_size, level * weight)`` with the one level at which all targets
-    add up. Sources are taken by the ratio at which they are full; the windows see a row per source.
+    A target is ``min(most * source_size, level * weight)`` with the one level at which all targets add up. The level rises
+    until no further source is full: a round is an aggregate over the sources, however many there are, and so
+    is the sort that gives them their weights.
     """
     totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(order) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place + 1).cast("int"))
-    full = totals.withColumn("_weight", weight).withColumn("_cap", (most * F.col("source_size")).cast("double"))
-    by_ratio = Window.orderBy(F.col("_cap") / F.col("_weight"), F.col("source").asc_nulls_last())
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    onward = by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # The level if all sources before this one are full and it and all later ones are not.
-    left = share * F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
-    levels = full.withColumn("_level", left / F.sum("_weight").over(onward))
-    fits = F.when(F.col("_level") * F.col("_weight") <= F.col("_cap"), F.col("_level"))
-    first = F.first(fits, ignorenulls=True).over(by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    level = F.coalesce(first, F.max(F.col("_cap") / F.col("_weight")).over(Window.partitionBy()))
-    return levels.select("source", "source_size", F.least(F.col("_cap"), level * F.col("_weight")).alias("target"))
+    ranked = with_sorted_ordinal(totals, F.asc_nulls_last("source"), name="_place")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_place") % len(weights) + 1).cast("int"))
+    full = stored(ranked.select("source", "source_size", weight.alias("_weight"), (most * F.col("source_size")).cast("double").alias("_cap")), "caps")
+    wanted = share * (full.agg(F.sum("source_size")).first()[0] or 0)
+    level, before = 0.0, None
+    for _ in range(STEPS):
+        reached = F.col("_cap") <= F.lit(level) * F.col("_weight")
+        now = full.agg(
+            F.count_if(reached).alias("n"), F.coalesce(F.sum(F.when(reached, F.col("_cap"))), F.lit(0.0)).alias("words"),
+            F.sum(F.when(~reached, F.col("_weight"))).alias("open"), F.max(F.col("_cap") / F.col("_weight")).alias("top"),
+        ).first()
+        if now["open"] is None or now["n"] == before:
+            level = level if now["open"] else now["top"] or 0.0
+            break
+        level, before = (wanted - now["words"]) / now["open"], now["n"]
+    else:
+        raise RuntimeError("the targets of the sources did not settle")
+    return full.select("source", "source_size", F.least(F.col("_cap"), F.lit(level) * F.col("_weight")).alias("target"))
 
 
 def _rate(tilt: Column, size: Column, most: int) -> Column:
@@ -75,7 +82,8 @@ def balanced_tilts(
     rate = _rate(F.col("tilt"), size, most)
     slope = rate * (1 - rate / most) * size * size * n
     for _ in range(steps):
-        if state.where("not done").isEmpty():
+        left = state.where("not done")
+        if left.isEmpty():
             break
         at = state.withColumnRenamed("source", "_source")
         sums = (
@@ -86,10 +94,14 @@ def balanced_tilts(
         short = F.col("target") - F.col("_words")
         met = F.abs(short) <= tolerance * F.col("target")
         step = F.round(F.col("tilt") + F.coalesce(F.try_divide(short, F.col("_slope")), F.lit(0.0)), 12)
+        # A step that rounds to nothing is as near as a tilt can come.
+        met = met | (step == F.col("tilt"))
         state = stored(
             sums.select(F.col("_source").alias("source"), "target", F.when(met, F.col("tilt")).otherwise(step).alias("tilt"), met.alias("done")),
             "tilts",
         )
+    else:
+        raise RuntimeError(f"{left.count()} sources do not meet their targets after {steps} steps")
     infinite = F.lit(float("inf"))
     ends = targets.where(full | (F.col("target") <= 0)).select(
         "source", F.when(F.col("target") > 0, infinite).otherwise(-infinite).alias("tilt")
@@ -143,8 +155,8 @@ def mix_sources(
     of rates passes a whole number, so the words taken differ from the target by about one
     document; the copies of a few documents then change by one to make up for most of that.
     Running sums go over cells (source, size, salt) and rows are ranked inside a cell of
-    about ``CELL_ROWS``, so no source, size or group of copies has to lie in one task. The only
-    broadcast is the table of salted cells, one for every ``CELL_ROWS`` rows at most.
+    about ``CELL_ROWS``, so no source, size or group of copies has to lie in one task. Nothing is
+    broadcast that Spark does not know to be small.
 
     A document without words has rate 0; null source is a source, the last; repeated rows are
     documents of their own; an empty table gives no rows. Columns with the names of the results
@@ -161,7 +173,7 @@ def mix_sources(
     )
 
     def salted(df: DataFrame) -> DataFrame:
-        found = df.join(F.broadcast(hot), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
+        found = df.join(hot, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
         return found.withColumn("_salt", F.pmod("_draw", F.coalesce("_salts", F.lit(1)))).drop("_s", "_z", "_salts")
 
     size = F.col("size").cast("double")
