@@ -113,10 +113,13 @@ def exact_duplicates(docs: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Data
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is kept, one for each distinct text, with all their columns."""
-    result = exact_duplicates(docs)
-    kept = result.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
+    """The rows of ``docs`` whose text is kept, one for each distinct text, with all their columns, whatever their names.
+
+    Null counts as the empty text. Of equal texts the largest ``doc_id`` stays, a null id only if all are null; of rows that
+    repeat text and ``doc_id`` any one. An empty table stays empty.
+    """
+    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept"))
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
-    marked = docs.withColumn("_sha", F.sha2(text, 256))
-    chosen = marked.join(kept, F.col("_id").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_kept") == F.col("_sha")), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("_own"), F.sha2(text, 256).alias("_sha"), F.struct("*").alias("_row"))
+    chosen = rows.join(kept, F.col("_id").eqNullSafe(F.col("_own")) & (F.col("_kept") == F.col("_sha")), "left_semi")
+    return chosen.dropDuplicates(["_own", "_sha"]).select("_row.*")

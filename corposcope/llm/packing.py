@@ -8,6 +8,7 @@ Only the texts move, once; groups are packed independently and in a stream.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from collections.abc import Iterator
@@ -34,17 +35,37 @@ _PIECE = pa.schema(
 _DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 # A word that the tokeniser cuts in front of its punctuation and nowhere else; the letters are composed ones.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+# How a tokeniser has to prepare a text so that its ids are those of its words, as taken apart here.
+_PREPARED = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split", "behavior": "Removed", "invert": True,
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 class TokenIds:
-    """Ids of whole texts. White space always separates tokens, so the ids of a text are those of
-    its words; the tokeniser sees each distinct word once while it is remembered."""
+    """Ids of whole texts. Where white space always separates tokens, the ids of a text are those of
+    its words; the tokeniser sees each distinct word once while it is remembered. A file that says otherwise
+    gets whole texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        told = json.loads(self.tokenizer.to_str())
+        self.by_words = all(told[k] == v for k, v in _PREPARED.items()) and all("<|" in t["content"] for t in told["added_tokens"])
         self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.parts: dict[str, bytes] = {}
         self.forget()
@@ -78,8 +99,14 @@ class TokenIds:
         self.sizes.append(len(self.ids) - self.begins[-1])
         return len(self.sizes) - 1
 
+    def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids + [END_ID] for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.cumsum([0, *map(len, found)])
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, each followed by the end id, and where each text ends."""
+        if not self.by_words:
+            return self.of_texts(texts.to_pylist())
         if len(self.rows) > REMEMBERED:
             self.forget()
         distinct, codes, ends = split_words(texts)

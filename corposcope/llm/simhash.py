@@ -306,10 +306,14 @@ def near_duplicates(docs: DataFrame, *, distance: int = DISTANCE, words: int = S
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each group: the smallest ``doc_id``, null ids last, then the smallest text hash."""
+    """One row of ``docs`` for each group, with all its columns, whatever their names: the smallest ``doc_id``, null ids last, then
+    the smallest text hash; of rows that repeat both any one.
+
+    Null and empty texts are a group like any other. An empty table stays empty.
+    """
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     chosen = near_duplicates(docs).groupBy("root").agg(F.min(first).alias("c"))
     chosen = chosen.select(F.col("c.doc_id").alias("_id"), F.col("c.text_key").alias("_key"))
-    marked = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string")))
-    kept = marked.join(chosen, F.col("_id").eqNullSafe(F.col("doc_id").cast("long")) & (F.col("_key") == F.col("_text")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    rows = docs.select(F.col("doc_id").cast("long").alias("_own"), F.xxhash64(F.col("text").cast("string")).alias("_text"), F.struct("*").alias("_row"))
+    kept = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_own")) & (F.col("_key") == F.col("_text")), "left_semi")
+    return kept.dropDuplicates(["_own", "_text"]).select("_row.*")

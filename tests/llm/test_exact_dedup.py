@@ -53,3 +53,13 @@ def test_a_hot_text_is_counted_whole(spark):
     rows = exact_dedup.exact_duplicates(docs).collect()
     hot = [r for r in rows if r.group_size > 1]
     assert len(rows) == 3000 and len(hot) == 1000 and {r.keep_id for r in hot} == {2997}
+
+
+def test_columns_with_names_of_the_operators_own(spark):
+    from corposcope.llm import simhash
+
+    names = ["_id", "_own", "_sha", "_text", "_key", "_kept", "_row", "none", "c"]
+    docs = spark.createDataFrame([(1, "one two", *names), (2, "ONE two", *names), (2, "ONE two", *names)], ["doc_id", "text", *names])
+    for kept, key in ((exact_dedup.drop_duplicates(docs), 2), (simhash.drop_near_duplicates(docs), 1)):
+        assert kept.columns == docs.columns
+        assert [tuple(r)[2:] for r in kept.collect()] == [tuple(names)] and kept.first().doc_id == key

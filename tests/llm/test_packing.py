@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -66,7 +67,6 @@ ALPHABET = st.sampled_from(list("aAbB'sStTlLdD. ,!_|<>-09éÉßİΣ\xa0\t\ń中
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(ALPHABET, max_size=25).map("".join), max_size=4))
 def test_ids_of_words_are_ids_of_texts(texts):
-    import pyarrow as pa
 
     ids = packing.token_ids(packing.tokenizer_path())
     flat, ends = ids(pa.array(texts, pa.string()))
@@ -83,3 +83,17 @@ def test_first_fit(sizes):
             free.append(50)
         assert (b, o) == (want, 50 - free[want])
         free[want] -= size
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_any_tokeniser_file(name, odd_rows):
+    """A file whose tokens go over white space gets whole texts; either way the ids are those of the tokeniser."""
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path(name)
+    texts = [r[1] for r in odd_rows] + ["  Two  spaces and\ttabs ", "it's <|endoftext|> don't"]
+    ids, ends = packing.TokenIds(path)(pa.array(texts))
+    whole = Tokenizer.from_file(path)
+    for text, a, b in zip(texts, ends, ends[1:]):
+        assert ids[a:b].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+    assert packing.TokenIds(path).by_words == name.startswith("word")
