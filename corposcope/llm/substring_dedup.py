@@ -26,6 +26,8 @@ DEPTH = 2
 MOST_CELLS = 1 << 31
 # Cells whose counts are merged in one group, at most.
 RANGE = 1 << 20
+# Text whose windows are one shard, which is held while it is grouped, even if all of them pass the sketch.
+SHARD_BYTES = 32 << 20
 # Windows that a task sketches or sends on at a time.
 HELD = 2_000_000
 
@@ -313,7 +315,8 @@ def remove_repeats(docs: DataFrame, *, width: int = WINDOW, cells: int | None =
     words, texts shorter than a window are kept, and a row without id neither loses nor takes
     words. Rows that repeat a ``doc_id`` don't count against each other. An empty table gives no rows.
 
-    ``cells`` is a power of two, at least 16. The texts move once, at the end; before that only bytes per window move. A window that very many
+    ``cells`` is a power of two, at least 16. The texts move once, at the end; before that only bytes per window move. A task groups
+    one shard after another, and shards do not grow with the table. A window that very many
     documents share costs its shard 16 bytes for each slice and document.
     """
     light = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -321,7 +324,7 @@ def remove_repeats(docs: DataFrame, *, width: int = WINDOW, cells: int | None =
     if cells is None:
         cells = min(max(1 << max(total // 2 - 1, 0).bit_length(), DEPTH * RANGE), MOST_CELLS)
     units = max(total // SLICE_BYTES, 1) * 2
-    shards = partitions(docs.sparkSession)
+    shards = max(partitions(docs.sparkSession), total // SHARD_BYTES)
     known = light.where("doc_id is not null")
     sketch = repeated_cells(known, cells, width, held)
     chosen = known.mapInArrow(_selector(sketch, cells, width, shards, held), "shard int, k1 binary, k2 binary, docs binary, runs binary")

@@ -68,3 +68,8 @@ def test_keys_tell_windows_apart(width):
     assert len(windows) == len(k1) == counts.sum()
     assert len(set(windows)) == len(set(zip(k1, k2))) == len(set(k1))
     assert len(set(zip(windows, k1))) == len(set(windows))
+
+
+def test_many_small_shards(documents, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 2000)
+    assert got(documents) == expected([(r.doc_id, r.text) for r in documents.collect()])
