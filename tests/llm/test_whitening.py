@@ -19,34 +19,42 @@ def kept(rows):
 
 
 def exact_covariance(xs):
-    """Entries as fractions, from rows centred on their means."""
+    """Entries as fractions, from rows centred on their means: ``n`` times as large, so that they are whole numbers."""
     n, dim = len(xs), len(xs[0])
-    means = [Fraction(sum(x[d] for x in xs), n) for d in range(dim)]
-    centred = [[x[d] - means[d] for d in range(dim)] for x in xs]
-    return [[sum(c[a] * c[b] for c in centred) / n for b in range(dim)] for a in range(dim)], means
+    sums = [sum(x[d] for x in xs) for d in range(dim)]
+    centred = [[n * x[d] - sums[d] for d in range(dim)] for x in xs]
+    return [[Fraction(sum(c[a] * c[b] for c in centred), n**3) for b in range(dim)] for a in range(dim)], centred
 
 
 def table(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
-def check(spark, rows):
-    """Against fractions: counts and deviations exactly, the components by their equations."""
+def check(spark, rows, got=None):
+    """Against fractions: counts and deviations exactly; eigenvalues and coordinates of separate ones by another solver."""
     rows_ = kept(rows)
     xs = [integers(v) for _, v, *_ in rows_]
     n, dim = len(xs), len(xs[0])
-    cov, means = exact_covariance(xs)
+    cov, centred = exact_covariance(xs)
     trace = sum(cov[d][d] for d in range(dim))
-    got = whitening.whitened(table(spark, rows)).collect()
+    got = got or whitening.whitened(table(spark, rows)).collect()
     assert len(got) == n * min(dim, 32) and {r.n for r in got} == {n}
     assert len({r.identity_error for r in got}) == 1 and got[0].identity_error <= 1e-9
     sums = [sum(x[d] for x in xs) for d in range(dim)]
     want = sorted((i, sum((n * a - s) ** 2 for a, s in zip(x, sums))) for (i, *_), x in zip(rows_, xs) for _ in range(min(dim, 32)))
     assert sorted((r.vec_id, r.deviation) for r in got) == want
-    values = np.linalg.eigvalsh(np.array([[float(c / (trace or 1)) for c in row] for row in cov]))[::-1]
+    values, vectors = np.linalg.eigh(np.array([[float(c / (trace or 1)) for c in row] for row in cov]))
+    values, vectors = values[::-1], vectors[:, ::-1]
     for r in got:
         assert r.explained == pytest.approx(max(values[r.component - 1], 0), rel=1e-6, abs=1e-13)
-    return got, xs, means
+    if len({i for i, *_ in rows_}) == n and trace:
+        gaps = np.abs(np.subtract.outer(values, values) + np.eye(dim)).min(axis=1)
+        z = np.array([[float(Fraction(v, n)) for v in c] for c in centred]) @ vectors / np.sqrt(np.maximum(values, 1e-300) * float(trace))
+        place = {i: k for k, (i, *_) in enumerate(rows_)}
+        for r in got:
+            if gaps[r.component - 1] > 1e-5 and values[r.component - 1] > 1e-9:
+                assert abs(r.whitened) == pytest.approx(abs(z[place[r.vec_id], r.component - 1]), rel=1e-6, abs=1e-7)
+    return got, xs
 
 
 def random_rows(n, dim, seed=1, spread=None):
@@ -55,7 +63,7 @@ def random_rows(n, dim, seed=1, spread=None):
 
 
 def test_random_rows(spark):
-    got, xs, means = check(spark, random_rows(60, 5))
+    got, xs = check(spark, random_rows(60, 5))
     w = {(r.vec_id, r.component): r.whitened for r in got}
     for a in range(1, 6):
         for b in range(1, 6):
@@ -113,6 +121,10 @@ def test_product_has_more_than_double_precision():
     assert np.abs(whitening.product(a, b) - whitening.product(a, b).astype(float) - np.array(exact)).max() < 1e-18
 
 
-def test_table(spark, folder):
-    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").limit(150).collect()]
-    check(spark, rows)
+def test_the_query(spark, folder):
+    from corposcope.llm.queries import QUERIES
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    got = QUERIES["op12_whitening"](spark, folder)
+    assert got.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check(spark, rows, got.collect())
