@@ -34,6 +34,35 @@ def test_overlapping_bands(spark, seed):
     assert held(spark, points + [None, -5.0, 99.0], bands) == brute(points + [None, -5.0, 99.0], bands)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_counts_per_row_need_no_pairs(spark, seed):
+    rng = random.Random(seed)
+    values = [rng.randrange(12) / 4 for _ in range(40)] + [None, -5.0, 99.0]
+    bands = [("sjr", *sorted(rng.sample([i / 4 for i in range(14)], 2)), f"b{i}") for i in range(30)]
+    bands += [("sjr", None, 1.0, "low"), ("sjr", 1.25, None, "high"), ("sjr", None, None, "any"), ("h-index", 1.0, 2.0, "other")]
+    docs = spark.createDataFrame(list(enumerate(values)), "id long, sjr double")
+    for table in (bands, [*bands, ("none", None, None, "all")], [("sjr", None, None, "any")], []):
+        got = B.band_table_counts(docs, spark.createDataFrame(table, BANDS), "id").collect()
+        pairs = brute(values, table)
+        names = {i: [band for j, band in pairs if j == i] for i, _ in pairs}
+        assert {r["id"]: (r["bands"], r["first"], r["last"]) for r in got} == {i: (len(n), min(n), max(n)) for i, n in names.items()}
+
+
+def test_bands_meet_few_runs_of_cells(spark):
+    """Nested bands cover half of all cells each; they are a few rows each all the same."""
+    n = 200
+    table = B.checked_bands(spark.createDataFrame([("sjr", float(i), float(2 * n - i), f"b{i}") for i in range(n)], BANDS))
+    ends = B._ends(table)
+    cells = 2 * len(ends["sjr"]) + 1
+    rows = B.band_nodes(table, ends).collect()
+    assert len(rows) <= n * 2 * cells.bit_length()
+    covered = {}
+    for r in rows:
+        covered.setdefault(r["band"], []).extend(range(r["node"] << r["level"], (r["node"] + 1) << r["level"]))
+    at = {v: 2 * i + 1 for i, v in enumerate(ends["sjr"])}
+    assert {b: sorted(c) for b, c in covered.items()} == {f"sjr_b{i}": list(range(at[float(i)], at[float(2 * n - i)] + 1)) for i in range(n)}
+
+
 def test_few_or_no_bands(spark):
     assert held(spark, [1.0], []) == []
     assert held(spark, [1.0, None], [("sjr", None, None, "any")]) == [(0, "sjr_any")]
