@@ -14,8 +14,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Distinct chunks remembered per task before the memory is started afresh.
+# Distinct chunks, and bytes of them and their ids, remembered per task before the memory is started afresh.
 REMEMBERED = 500_000
+REMEMBERED_BYTES = 32 << 20
+# Text whose chunks are laid out at a time, whatever the size of an Arrow batch; a longer text is laid out alone.
+SLICE_BYTES = 2 << 20
 
 # Pieces that stand for themselves in a text, and characters that are dropped.
 _SPECIAL = re.compile(r"\[(?:PAD|UNK|CLS|SEP|MASK)\]")
@@ -79,6 +82,7 @@ class PieceIds:
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
         self.begins, self.sizes, self.ids = array("q"), array("q"), array("i")
+        self.bytes = 0
 
     def chunk(self, chunk: str) -> list[int]:
         if chunk in self.vocab and _SPECIAL.fullmatch(chunk):
@@ -93,10 +97,18 @@ class PieceIds:
             self.begins.append(len(self.ids))
             self.sizes.append(len(ids))
             self.ids.extend(ids)
+            # A string, its entry and its place, four bytes an id.
+            self.bytes += 4 * len(chunk) + 4 * len(ids) + 150
         return found
 
     def __call__(self, texts: pa.Array) -> pa.ListArray:
-        if len(self.rows) > REMEMBERED:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        return pa.concat_arrays([self.of_slice(texts.slice(a, b - a)) for a, b in zip(starts, starts[1:])])
+
+    def of_slice(self, texts: pa.Array) -> pa.ListArray:
+        if len(self.rows) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.forget()
         texts = pc.replace_substring_regex(pc.fill_null(texts, ""), _CONTROLS, "")
         texts = pc.replace_substring_regex(texts, f"({_SPECIAL.pattern})", r" \1 ")
