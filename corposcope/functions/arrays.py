@@ -18,6 +18,33 @@ def fixed_length(values: Column, length: int, pad) -> Column:
     return F.concat(truncated(values, length), F.array_repeat(F.lit(pad), missing))
 
 
+def slimmed(values: Column, size: Column) -> Column:
+    """An array of ``size`` elements as ``first, mid, last``, and ``full`` where those between the ends differ or are null.
+
+    Masks of a sequence are of that form, so that they need not be moved or sorted element by element.
+    """
+    inner = F.slice(values, 2, F.greatest(size - 2, F.lit(0)))
+    mid, first, last = F.get(values, F.lit(1)), F.get(values, F.lit(0)), F.get(values, size - 1)
+    even = (F.size(values) == size) & ((size <= 2) | (mid.isNotNull() & (inner == F.array_repeat(mid, size - 2))))
+    even = even & ((size < 1) | (first.isNotNull() & last.isNotNull()))
+    return F.struct(first.alias("first"), mid.alias("mid"), last.alias("last"), F.when(~F.coalesce(even, F.lit(False)) & (size > 0), values).alias("full"))
+
+
+def part_of_slimmed(slim: Column, size: Column, begin: Column, take: Column) -> Column:
+    """``take`` elements of a slimmed array from the 0-based ``begin``."""
+    head = ((begin == 0) & (take > 0)).cast("int")
+    tail = ((begin + take == size) & (take > 0) & (size > 1)).cast("int")
+    even = F.concat(
+        F.array_repeat(slim["first"], head), F.array_repeat(slim["mid"], take - head - tail), F.array_repeat(slim["last"], tail)
+    )
+    return F.when(slim["full"].isNull(), even).otherwise(F.slice(slim["full"], begin + 1, take))
+
+
+def whole_of_slimmed(slim: Column, size: Column) -> Column:
+    """The array again; null where it was null."""
+    return F.when(size >= 0, part_of_slimmed(slim, size, F.lit(0), size))
+
+
 def multi_hot(ids: Column, n: int) -> Column:
     """Label ids as a 0/1 vector of ``n`` doubles."""
     return F.transform(

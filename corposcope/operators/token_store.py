@@ -11,13 +11,12 @@ import uuid
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.arrays import whole_of_slimmed
 from ..session import new_path
-from .ordering import check_fraction, with_ordinal
-from .tokens import PACK_FILLS, pack
-
-SLAB_ROWS = 1 << 16
+from .ordering import SLAB_ROWS, check_fraction, with_slab
+from .tokens import PACK_FILLS, pack, slim_rows
 
 
 @dataclass(frozen=True)
@@ -35,7 +34,7 @@ class TokenStore:
 def store_tokens(
     tokens: DataFrame, key: str, *, slab_rows: int = SLAB_ROWS, buckets: int | None = None, seed: int = 42, digits: int | None = None
 ) -> TokenStore:
-    """Store ``tokens`` with their positions after a seeded shuffle. The arrays move twice now, and never again.
+    """Store ``tokens`` with their positions after a seeded shuffle. The arrays move once now, to their slab, and never again.
 
     The table belongs to the session's catalog, its files lie in the shared folder; as many buckets as
     there are shuffle partitions, so that the joins and groups of later jobs line up with them.
@@ -43,8 +42,14 @@ def store_tokens(
     spark = tokens.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"tokens_{uuid.uuid4().hex}"
-    placed = with_ordinal(tokens, key, seed=seed, digits=digits).withColumn("slab", F.expr(f"ordinal div {slab_rows}"))
-    writer = placed.repartition(buckets, "slab").write.format("parquet").bucketBy(buckets, "slab").sortBy("slab", "ordinal")
+    names = [c for c in PACK_FILLS if c in tokens.columns]
+    slim = slim_rows(tokens, names) if names else tokens
+    moved = with_slab(slim, key, slab_rows, seed=seed, digits=digits).repartition(buckets, "slab")
+    place = F.row_number().over(Window.partitionBy("slab").orderBy("_key", key))
+    placed = moved.withColumn("ordinal", F.col("slab") * slab_rows + place - 1)
+    arrays = {n: whole_of_slimmed(F.col(n), F.size(names[0])) for n in names[1:]}
+    placed = placed.withColumns(arrays).select(*tokens.columns, "ordinal", "slab")
+    writer = placed.write.format("parquet").bucketBy(buckets, "slab").sortBy("slab", "ordinal")
     writer.option("path", new_path(spark, "token_store")).saveAsTable(name)
     return TokenStore(name, spark.table(name).count(), slab_rows)
 

@@ -6,13 +6,16 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
-from ..functions.arrays import IGNORED, fixed_length
+from ..functions.arrays import IGNORED, fixed_length, part_of_slimmed, slimmed
 from ..functions.keys import bucket_of, hash_key
 from ..functions.pieces import PieceIds
+from ..functions.rows import Cutter
 from ..sources.records import scan_vocabulary
 from .lookup import lookup_join
-from .ordering import digits_for, running_starts, with_order_key, with_ordinal, with_sorted_ordinal
+from .ordering import digits_for, running_starts, slab_rows_for, with_order_key, with_slab, with_sorted_ordinal
 from .scoring import Band
 
 # Special pieces, in id order for vocabularies built here.
@@ -181,9 +184,27 @@ def pack(
     whose batches lie inside existing partitions names their columns in
     ``within`` and saves the shuffle; those in ``keep`` are part of the result.
     """
+    names = token_columns(df, fills)
+    return _pack(slim_rows(df, names), names, length, batch_size=batch_size, order=order, fills=fills, within=within, keep=keep)
+
+
+def token_columns(df: DataFrame, fills: dict[str, int]) -> list[str]:
     names = [c for c in fills if c in df.columns]
     if not names:
         raise ValueError("no token column to pack")
+    return names
+
+
+def slim_rows(df: DataFrame, names: list[str]) -> DataFrame:
+    """The first of the arrays as it is, those beside it slimmed: sorted, moved and held is what can't be told from the ends."""
+    return df.withColumns({n: slimmed(F.col(n), F.size(names[0])) for n in names[1:]})
+
+
+def _pack(
+    df: DataFrame, names: list[str], length: int, *, batch_size: int, order: str = "ordinal",
+    fills: dict[str, int] = PACK_FILLS, within: tuple[str, ...] = (), keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``pack`` of slimmed rows."""
     by = [*within, "batch"]
     size = F.size(names[0])
     before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -202,16 +223,26 @@ def pack(
             (F.least((F.col("chunk") + 1) * length - F.col("_from"), F.col("_size")) - F.col("_begin")).cast("int"),
         )
     )
-    parts = [F.slice(n, F.col("_begin") + 1, F.col("_take")).alias(n) for n in names]
-    rows = spans.select(*by, "chunk", F.struct(order, *parts).alias("_part")).groupBy(*by, "chunk").agg(
-        F.array_sort(F.collect_list("_part")).alias("_parts")
-    )
-    return rows.select(
-        *keep,
-        "batch",
-        "chunk",
-        *[fixed_length(F.flatten(F.col("_parts").getField(n)), length, fills[n]).alias(n) for n in names],
-    )
+    first = F.slice(names[0], F.col("_begin") + 1, F.col("_take")).alias(names[0])
+    part = F.struct(order, first, *names[1:], "_size", "_begin", "_take").alias("_part")
+    rows = spans.select(*by, "chunk", part).groupBy(*by, "chunk").agg(F.array_sort(F.collect_list("_part")).alias("_parts"))
+
+    def tokens(name: str) -> Column:
+        if name == names[0]:
+            return F.flatten(F.col("_parts").getField(name))
+        return F.flatten(F.transform("_parts", lambda p: part_of_slimmed(p[name], p["_size"], p["_begin"], p["_take"])))
+
+    return rows.select(*keep, "batch", "chunk", *[fixed_length(tokens(n), length, fills[n]).alias(n) for n in names])
+
+
+def pack_sorted(df: DataFrame, names: list[str], length: int, *, batch_size: int, slab_rows: int, fills: dict[str, int], kinds: dict[str, DataType]) -> DataFrame:
+    """``batch, chunk`` and token arrays of slimmed rows whose partitions hold whole slabs in order.
+
+    The arrays go once through an Arrow function that copies their tokens into rows; a batch never leaves a slab.
+    """
+    cut = Cutter(names, [fills[n] for n in names], [to_arrow_type(kinds[n].elementType) for n in names], length, batch_size, slab_rows)
+    fields = ", ".join(["batch long", "chunk long", *[f"`{n}` {kinds[n].simpleString()}" for n in names]])
+    return df.select("slab", *names).mapInArrow(cut, fields)
 
 
 def pack_shuffled(
@@ -226,19 +257,25 @@ def pack_shuffled(
 ) -> DataFrame:
     """Seeded shuffle and packing with a single shuffle of the token arrays.
 
-    Positions come from buckets of the hash key. A batch that lies inside one
-    bucket is packed in place; only the batches that straddle two buckets, one
-    per bucket boundary, move again. ``df`` is read twice for its keys and once
-    for its arrays, so pass a stored table.
+    The arrays move to their slab, a run of whole batches whose first keys are found on the keys alone, are sorted
+    there and cut as they come: nothing straddles two slabs, and a task holds a few rows besides the sort.
+    ``df`` is read four times for its keys and once for its arrays, so pass a stored table.
     """
-    names = [c for c in fills if c in df.columns]
-    placed = with_ordinal(df.select(key, *names), key, seed=seed, digits=digits, keep_bucket=True)
-    first = F.expr(f"(ordinal div {batch_size}) * {batch_size}")
-    whole = (first >= F.col("_start")) & (first + batch_size <= F.col("_start") + F.col("_rows"))
-    options = {"batch_size": batch_size, "fills": fills}
-    inside = pack(placed.where(whole), length, within=("_bucket",), **options)
-    across = pack(placed.where(~whole), length, **options)
-    return inside.unionByName(across)
+    return pack_lengths(df, key, [length], batch_size=batch_size, seed=seed, digits=digits, fills=fills)[0]
+
+
+def pack_lengths(
+    df: DataFrame, key: str, lengths: list[int], *, batch_size: int = 1024, seed: int = 42, digits: int | None = None, fills: dict[str, int] = PACK_FILLS,
+) -> list[DataFrame]:
+    """``pack_shuffled`` for each of the lengths, from the same shuffle."""
+    names = token_columns(df, fills)
+    rows = df.select(key).count()
+    slab_rows = slab_rows_for(rows, batch_size, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slim = slim_rows(df.select(key, *names), names)
+    placed = with_slab(slim, key, slab_rows, seed=seed, digits=digits_for(rows) if digits is None else digits)
+    ordered = placed.repartition("slab").sortWithinPartitions("slab", "_key", key)
+    kinds = {n: df.schema[n].dataType for n in names}
+    return [pack_sorted(ordered, names, n, batch_size=batch_size, slab_rows=slab_rows, fills=fills, kinds=kinds) for n in lengths]
 
 
 def pack_bands(
@@ -256,13 +293,13 @@ def pack_bands(
     shuffled and packed alone, with one shuffle of the token arrays for all of them.
 
     A matrix of counts, buckets of the order by bands, gives the position at which each band goes on in a bucket, and
-    running counts inside the bucket give each row its position in every band that holds it. As in
-    ``pack_shuffled`` only batches that straddle two buckets move again. A few dozen bands at most: each is
+    running counts inside the bucket give each row its position in every band that holds it.
+    Only batches that straddle two buckets move again. A few dozen bands at most: each is
     a running count of the window. ``df`` has the metric columns of the bands and is read twice.
     """
-    names = [c for c in fills if c in df.columns]
+    names = token_columns(df, fills)
     digits = digits_for(df.select(key).count()) if digits is None else digits
-    keyed = with_order_key(df, key, seed).withColumn("_bucket", bucket_of(F.col("_key"), digits))
+    keyed = with_order_key(slim_rows(df, names), key, seed).withColumn("_bucket", bucket_of(F.col("_key"), digits))
     held = {f"_b{i}": band.contains() for i, band in enumerate(bands)}
     counts = keyed.groupBy("_bucket").agg(*[F.count_if(c).alias(n) for n, c in held.items()])
     starts = running_starts(counts, list(held), digits)
@@ -282,8 +319,8 @@ def pack_bands(
     first = F.expr(f"(ordinal div {batch_size}) * {batch_size}")
     whole = (first >= F.col("_from_")) & (first + batch_size <= F.col("_from_") + F.col("_count_"))
     options = {"batch_size": batch_size, "fills": fills, "keep": ("band",)}
-    inside = pack(each.where(whole), length, within=("_bucket", "band"), **options)
-    across = pack(each.where(~whole), length, within=("band",), **options)
+    inside = _pack(each.where(whole), names, length, within=("_bucket", "band"), **options)
+    across = _pack(each.where(~whole), names, length, within=("band",), **options)
     return inside.unionByName(across)
 
 

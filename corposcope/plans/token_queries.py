@@ -207,6 +207,12 @@ def _packable(spark: SparkSession, folder: str) -> DataFrame:
     return staged(tokenised(spark, folder).drop("text"), "tokens")
 
 
+def _scored_tokens(spark: SparkSession, folder: str, *metrics: str) -> DataFrame:
+    """The same of scored articles; pieces are found where the scores are, so no array meets its scores by a join."""
+    rows = scored(spark, folder).select(F.col("id").alias("doc_id"), "text", *metrics)
+    return staged(T.tokenise(rows, vocabulary_file(spark, folder), drop=["text"]), "scored_tokens")
+
+
 def _packed_sql(length: int, batch: int) -> str:
     return f"""{_TOKENS},
     {ORDERED},
@@ -278,8 +284,7 @@ _TRAINING = _TOKENS + "," + ctes(*SCORED_ALL)[5:].rstrip() + """,
 @query("training_rows", _TRAINING + _PACKED_COLUMNS.format(128).replace("SELECT", "SELECT split,", 1))
 def training_rows(spark, folder):
     """Scored articles to token rows: split, metric band on the training part, packing."""
-    scores = scored(spark, folder).select(F.col("id").alias("doc_id"), "sjr")
-    tokens = staged(_packable(spark, folder).join(scores, "doc_id"), "scored_tokens")
+    tokens = _scored_tokens(spark, folder, "sjr")
     band = Band("sjr", 0.759, 100.0, "top50%")
     rows = jobs.training_rows(tokens, "doc_id", length=128, band=band, fraction=0.1, batch_size=64)
     return _packed_report(rows, "split")
@@ -305,8 +310,7 @@ _BANDED = _TOKENS + "," + ctes(*SCORED_ALL)[5:].rstrip() + f""",
 @query("packed_rows_by_band", _BANDED + _PACKED_COLUMNS.format(128).replace("SELECT", "SELECT band,", 1))
 def packed_rows_by_band(spark, folder):
     """The training rows of all ten bands from one pass over the shuffled tokens."""
-    scores = scored(spark, folder).select(F.col("id").alias("doc_id"), "sjr", "h_index", "random")
-    tokens = staged(_packable(spark, folder).join(scores, "doc_id"), "scored_tokens")
+    tokens = _scored_tokens(spark, folder, "sjr", "h_index", "random")
     return _packed_report(T.pack_bands(tokens, "doc_id", BANDS, PACK_LENGTH, batch_size=PACK_BATCH, digits=1), "band")
 
 
@@ -358,10 +362,9 @@ _REQUESTS = ((None, 4096, 1024), (96, 512, 96), (900, 128, 128))
       FROM tokens GROUP BY ALL)""" + _PACKED_COLUMNS.replace("{0}", "length").replace("SELECT", "SELECT CAST(length AS INTEGER) AS length,", 1))
 def packed_to_sequence_length(spark, folder):
     """Rows as long as the request and the model allow."""
-    tokens, parts = _packable(spark, folder), []
-    for requested, model_max, _ in _REQUESTS:
-        length = T.sequence_length(requested, model_max)
-        parts.append(T.pack_shuffled(tokens, "doc_id", length, batch_size=PACK_BATCH).withColumn("length", F.lit(length)))
+    lengths = [T.sequence_length(requested, model_max) for requested, model_max, _ in _REQUESTS]
+    packed = T.pack_lengths(_packable(spark, folder), "doc_id", lengths, batch_size=PACK_BATCH)
+    parts = [rows.withColumn("length", F.lit(length)) for rows, length in zip(packed, lengths)]
     return _packed_report(parts[0].unionByName(parts[1]).unionByName(parts[2]), "length")
 
 
