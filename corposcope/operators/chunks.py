@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import durable
+
 # Which transitions start, continue and end an entity in the
 # strict schemes, as previous prefix, current prefix and relation of the types.
 STRICT_SCHEMES = {
@@ -211,7 +213,8 @@ def entity_scores(
     fill = 0 if zero_division == "warn" else zero_division
     if fill not in (0, 1):
         raise ValueError("zero_division must be 0, 1 or 'warn'")
-    counts = chunk_counts(df, predicted, reference, suffix=suffix, scheme=scheme, strict=mode == "strict")
+    # A row per type: written, as a filter on the scores would else find all chunks again below the aggregate.
+    counts = durable(chunk_counts(df, predicted, reference, suffix=suffix, scheme=scheme, strict=mode == "strict"))
     # Aggregated without grouping, the overall row is there even if no side has a chunk.
     none = F.lit(0).cast("long")
     overall = counts.agg(*[F.coalesce(F.sum(c), none).alias(c) for c in ("tp", "n_pred", "n_ref")])

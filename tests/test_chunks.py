@@ -132,3 +132,11 @@ def test_arguments(spark):
     for bad in ({"scheme": "IOB9"}, {"mode": "exact"}, {"zero_division": 2}):
         with pytest.raises(ValueError):
             scores(spark, ["O"], ["O"], **bad)
+
+
+def test_chunks_are_found_once_for_the_overall_scores(spark, folder):
+    """After the counts only the tag accuracy reads the documents."""
+    from corposcope.plans import metric_queries
+
+    text = metric_queries.entity_report_overall(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
