@@ -1,9 +1,9 @@
 """Licence families of paragraphs: a trained classifier whose predictions a template has to confirm.
 
 Sparse word n-grams of a paragraph go through a multinomial logistic regression over the licence
-families and an unknown class, trained on worn copies of the templates and on paragraphs of the corpus.
-The chance that a family needs is calibrated on held-out unknown paragraphs, and the word trigrams of a
-template of that family have to be found again. A line is a paragraph; notices that are wrapped over
+families and an unknown class, trained on worn copies of the templates and on all paragraphs of the corpus
+that are scored and that no template is found in. The chance that a family needs is calibrated on a held-out
+fifth of these, and the word trigrams of a template of that family have to be found again. A line is a paragraph; notices that are wrapped over
 several lines are found by template trigrams in the words of neighbouring lines, whatever the width.
 DataFrame functions and the JVM's own regression only.
 """
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
@@ -132,10 +133,11 @@ def cover_words(templates: dict[str, list[str]], share: float = CONFIRMED) -> li
 LOOK = CUES + r"|(?<![\p{L}\p{N}])(" + "|".join(cover_words(TEMPLATES)) + r")(?![\p{L}\p{N}])"
 SPREAD_LOOK = SPREAD_CUES + LOOK[len(CUES) :]
 FEATURES = 1 << 14
-# Worn copies of a template, percent of the words that a copy lacks, documents whose paragraphs are unknown ones.
+# Worn copies of a template, percent of the words that a copy lacks.
 COPIES = 24
 WORN = 12
-ROWS = 1000
+# Share of a template's trigrams from which a paragraph is no example of an unknown one.
+LIKE = 0.3
 # Share of held-out unknown paragraphs that may reach the chance a family needs, and bounds of that chance.
 SLIPS = 0.01
 CHANCE = (0.5, 0.95)
@@ -231,35 +233,56 @@ def wrapped_matches(stored_blocks: DataFrame) -> DataFrame:
     return places.where("first < last").drop("template", "copy")
 
 
-def training_paragraphs(spark: SparkSession, docs: DataFrame, *, rows: int = ROWS, copies: int = COPIES) -> DataFrame:
-    """``(family, words, held_out)``: worn copies of every template, and unknown paragraphs: the fixed ones
-    and those of about ``rows`` hashed documents that no template is found in. A fifth is held out."""
+class Looked(NamedTuple):
+    """What is looked at in a table, all stored: blocks of lines, their lines that are scored, and what is found
+    of the templates in these lines and over several lines of a block."""
+
+    blocks: DataFrame
+    lines: DataFrame
+    shares: DataFrame
+    places: DataFrame
+
+
+def looked_at(docs: DataFrame) -> Looked:
+    cued = stored(blocks(docs, SPREAD_LOOK).withColumn("block", F.monotonically_increasing_id()), "licence_blocks")
+    lines = cued.select("doc_id", "block", F.col("at").alias("_first"), F.posexplode("lines").alias("line", "paragraph"))
+    lines = lines.where(F.col("paragraph").rlike(LOOK)).withColumn("words", _words(F.col("paragraph")))
+    lines = stored(lines.withColumn("at", F.struct("block", "line")), "licence_lines")
+    return Looked(cued, lines, stored(template_matches(lines), "licence_shares"), stored(wrapped_matches(cued), "licence_places"))
+
+
+def training_paragraphs(spark: SparkSession, looked: Looked, *, copies: int = COPIES) -> DataFrame:
+    """``(family, words, held_out, drawn)``: worn copies of every template, and unknown paragraphs: the fixed ones
+    and, with ``drawn``, every line of the corpus that is scored and that no template is found in. A fifth is held out."""
     known = [(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in OTHERS]
     fixed = spark.createDataFrame(known, "family string, text string").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     words = _words(F.col("text"))
     worn = F.filter(words, lambda w, i: (F.col("copy") == 0) | (F.pmod(F.xxhash64(w, i, "copy", "text"), F.lit(100)) >= WORN))
-    fixed = fixed.select("family", worn.alias("words"), (F.col("copy") % 5 == 4).alias("held_out"))
-    total = max(docs.count(), 1)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = stored(blocks(docs.where(draw < rows / total)).withColumn("block", F.monotonically_increasing_id()), "licence_blocks")
-    lines = drawn.select("doc_id", "block", "at", F.posexplode("lines").alias("line", "text"))
-    lines = stored(lines.select("doc_id", "block", "line", (F.col("at") + F.col("line")).alias("at"), _words(F.col("text")).alias("words")), "licence_lines")
-    like = template_matches(lines).where("matched >= 0.3").select("doc_id", "at").distinct()
+    fixed = fixed.select("family", worn.alias("words"), (F.col("copy") % 5 == 4).alias("held_out"), F.lit(False).alias("drawn"))
+    like = looked.shares.where(F.col("matched") >= LIKE).select("at.block", "at.line")
     # Lines of a wrapped notice have few trigrams each.
-    wrapped = wrapped_matches(drawn).where("matched >= 0.3").select("block", F.explode(F.sequence("first", "last")).alias("line"))
-    clean = lines.join(like, ["doc_id", "at"], "left_anti").join(wrapped, ["block", "line"], "left_anti").select(
-        F.lit(UNKNOWN).alias("family"), "words", (F.pmod(F.xxhash64("doc_id", "at"), F.lit(5)) == 4).alias("held_out")
+    wrapped = looked.places.where(F.col("matched") >= LIKE).select("block", F.explode(F.sequence("first", "last")).alias("line"))
+    clean = looked.lines.join(like.unionByName(wrapped).distinct(), ["block", "line"], "left_anti").select(
+        F.lit(UNKNOWN).alias("family"), "words", (F.pmod(F.xxhash64("doc_id", F.col("_first") + F.col("line")), F.lit(5)) == 4).alias("held_out"), F.lit(True).alias("drawn")
     )
     return fixed.unionByName(clean)
 
 
 def train(spark: SparkSession, docs: DataFrame) -> tuple[LogisticRegressionModel, list[str], float]:
     """The regression, its classes in order, and the chance that a family needs."""
+    return _trained(spark, looked_at(docs))
+
+
+def _trained(spark: SparkSession, looked: Looked) -> tuple[LogisticRegressionModel, list[str], float]:
     families = [*TEMPLATES, UNKNOWN]
     number = F.create_map(*[c for i, f in enumerate(families) for c in (F.lit(f), F.lit(float(i)))])
-    examples = stored(training_paragraphs(spark, docs), "licence_examples").withColumn("label", number[F.col("family")])
-    regression = LogisticRegression(featuresCol="_features", labelCol="label", family="multinomial", maxIter=60, regParam=1e-4, probabilityCol="_chances", rawPredictionCol="_raw", predictionCol="_class")
-    model = regression.fit(_features(examples.where("not held_out")))
+    examples = stored(training_paragraphs(spark, looked), "licence_examples").withColumn("label", number[F.col("family")])
+    taught = examples.where("not held_out")
+    # The lines of the corpus weigh as much as the fixed examples at most, or a family's chance would fall as the corpus grows.
+    sizes = taught.agg(F.count_if("drawn").alias("drawn"), F.count_if(~F.col("drawn")).alias("fixed")).first()
+    weight = F.when(F.col("drawn"), min(1.0, sizes["fixed"] / max(sizes["drawn"], 1))).otherwise(1.0)
+    regression = LogisticRegression(featuresCol="_features", labelCol="label", weightCol="weight", family="multinomial", maxIter=60, regParam=1e-4, probabilityCol="_chances", rawPredictionCol="_raw", predictionCol="_class")
+    model = regression.fit(_features(taught.withColumn("weight", weight)))
     judged = _family(model, _features(examples.where(f"held_out and family = '{UNKNOWN}'")), families)
     reached = judged.agg(F.percentile_approx("_chance", 1 - SLIPS, 1000)).first()[0]
     return model, families, min(max(reached or CHANCE[0], CHANCE[0]), CHANCE[1])
@@ -280,18 +303,18 @@ def licence_paragraphs(docs: DataFrame, model: LogisticRegressionModel, families
     ``at`` counts the paragraphs of the document from 0, a wrapped notice being at its first line. ``family`` is ``unknown`` where no family reaches the
     chance or no template of it is found again; ``score`` is the family's chance in any case.
     """
-    cued = stored(blocks(docs, SPREAD_LOOK).withColumn("block", F.monotonically_increasing_id()), "licence_blocks")
-    lines = cued.select("doc_id", "block", F.col("at").alias("_first"), F.posexplode("lines").alias("line", "paragraph"))
-    lines = lines.where(F.col("paragraph").rlike(LOOK)).withColumn("words", _words(F.col("paragraph")))
-    lines = stored(lines.withColumn("at", F.struct("block", "line")), "licence_lines")
-    judged = _family(model, _features(lines), families)
-    shares = template_matches(lines).select(F.col("doc_id").alias("_id"), F.col("at").alias("_at"), F.col("family").alias("_f"), "matched")
+    return _paragraphs(looked_at(docs), model, families, chance)
+
+
+def _paragraphs(looked: Looked, model: LogisticRegressionModel, families: list[str], chance: float) -> DataFrame:
+    judged = _family(model, _features(looked.lines), families)
+    shares = looked.shares.select(F.col("doc_id").alias("_id"), F.col("at").alias("_at"), F.col("family").alias("_f"), "matched")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("at") == F.col("_at")) & (F.col("_family") == F.col("_f"))
     judged = judged.join(shares, same, "left").withColumn("matched", F.coalesce("matched", F.lit(0.0)))
     confirmed = (F.col("_chance") >= chance) & (F.col("matched") >= CONFIRMED)
     judged = judged.withColumn("family", F.when(confirmed, F.col("_family")).otherwise(UNKNOWN))
     alone = stored(judged.select("doc_id", "block", "line", (F.col("_first") + F.col("line")).alias("at"), "paragraph", "family", F.col("_chance").alias("score"), "matched"), "licence_alone")
-    wrapped = stored(_wrapped(cued, model, families, chance), "licence_wrapped")
+    wrapped = stored(_wrapped(looked, model, families, chance), "licence_wrapped")
     # A line of a wrapped notice is no paragraph of its own, unless it is confirmed without the others;
     # a wrapped notice of that line's family is the line's.
     covered = wrapped.select("block", "family", "first", F.explode(F.sequence("first", "last")).alias("line"))
@@ -303,10 +326,10 @@ def licence_paragraphs(docs: DataFrame, model: LogisticRegressionModel, families
     return lone.select(columns).unionByName(wrapped.join(had, ["block", "family", "first"], "left_anti").select(columns))
 
 
-def _wrapped(cued: DataFrame, model: LogisticRegressionModel, families: list[str], chance: float) -> DataFrame:
+def _wrapped(looked: Looked, model: LogisticRegressionModel, families: list[str], chance: float) -> DataFrame:
     """The confirmed notices that go over several lines; of those with words in common the best matched one."""
-    places = wrapped_matches(cued).where(F.col("matched") >= CONFIRMED)
-    places = _block_words(cued.join(places, "block")).withColumn("words", F.slice("words", F.col("start") + 1, F.col("stop") - F.col("start")))
+    places = looked.places.where(F.col("matched") >= CONFIRMED)
+    places = _block_words(looked.blocks.join(places, "block")).withColumn("words", F.slice("words", F.col("start") + 1, F.col("stop") - F.col("start")))
     judged = _family(model, _features(stored(places.drop("owners"), "licence_places")), families)
     sure = judged.where((F.col("_family") == F.col("family")) & (F.col("_chance") >= chance))
     order = Window.partitionBy("block").orderBy("start", "stop", "family")
@@ -328,8 +351,8 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     found under it; an empty table gives no rows. Only blocks of lines with a cue are looked at
     and shuffled; counts per document are joined to the ids.
     """
-    model, families, chance = train(docs.sparkSession, docs)
-    found = licence_paragraphs(docs, model, families, chance)
+    looked = looked_at(docs)
+    found = _paragraphs(looked, *_trained(docs.sparkSession, looked))
     confirmed = F.col("family") != UNKNOWN
     per = found.groupBy("doc_id").agg(
         F.count_if(confirmed).alias("n_licences"),

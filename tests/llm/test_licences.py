@@ -148,3 +148,14 @@ def test_matched_shares_restated(spark, documents):
             if share:
                 want[r.doc_id, r.at, family] = share
     assert got == pytest.approx(want)
+
+
+def test_every_scored_line_is_an_example(spark):
+    """No document is left out of the training, and many unknown lines don't hide a template."""
+    text = F.concat(F.lit("prose alone\nThe licence plate "), F.col("id"), F.lit(" was lost\n\nReleased under the MIT License."))
+    looked = licences.looked_at(spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text")))
+    drawn = licences.training_paragraphs(spark, looked).where("drawn")
+    assert drawn.select("words").distinct().count() == drawn.count() == 3000
+    assert 400 < drawn.where("held_out").count() < 800
+    found = licences._paragraphs(looked, *licences._trained(spark, looked)).groupBy("family").count().collect()
+    assert dict(found) == {"MIT": 3000, "unknown": 3000}
