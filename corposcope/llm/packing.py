@@ -9,13 +9,14 @@ Only the texts move, once; groups are packed independently and in a stream.
 from __future__ import annotations
 
 import json
-import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import slices, split_words
@@ -25,8 +26,8 @@ SEQUENCE = 2048
 END_ID = 1
 # Bytes of text in a group, on average.
 GROUP_BYTES = 2 << 20
-# Distinct words, and distinct parts of words, whose ids a worker remembers before it starts afresh.
-REMEMBERED = 150_000
+# Distinct parts of words whose ids a worker remembers before it starts afresh.
+REMEMBERED = 300_000
 
 _PIECE = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -34,7 +35,7 @@ _PIECE = pa.schema(
 )
 _DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 # A word that the tokeniser cuts in front of its punctuation and nowhere else; the letters are composed ones.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 # How a tokeniser has to prepare a text so that its ids are those of its words, as taken apart here.
 _PREPARED = {
     "normalizer": {
@@ -54,50 +55,65 @@ _PREPARED = {
 }
 
 
+class Symbols(dict):
+    """For ``str.translate``: what the byte-level pre-tokeniser makes of a character, asked once."""
+
+    def __init__(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+
+    def __missing__(self, character: int) -> str:
+        found = self[character] = self.bytes_of(chr(character))[0][0]
+        return found
+
+
+def spans(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all items of several runs, one run after the other, and where each run ends there."""
+    stops = np.concatenate([[0], np.cumsum(sizes)])
+    return np.repeat(begins - stops[:-1], sizes) + np.arange(stops[-1]), stops
+
+
 class TokenIds:
     """Ids of whole texts. Where white space always separates tokens, the ids of a text are those of
-    its words; the tokeniser sees each distinct word once while it is remembered. A file that says otherwise
+    its words, and those of a plain word are its letters' and its punctuation's; words are taken apart
+    natively, and the tokeniser sees each distinct part once while it is remembered. A file that says otherwise
     gets whole texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         told = json.loads(self.tokenizer.to_str())
         self.by_words = all(told[k] == v for k, v in _PREPARED.items()) and all("<|" in t["content"] for t in told["added_tokens"])
-        self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.parts: dict[str, bytes] = {}
+        self.symbols = Symbols()
         self.forget()
 
     def forget(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.begins, self.sizes, self.ids = array("q"), array("q"), array("I")
-        if len(self.parts) > REMEMBERED:
-            self.parts = {}
+        # The first row is that of a part that is not there.
+        self.rows: dict[str, int] = {"": 0}
+        self.sizes, self.ids = array("q", [0]), array("I")
 
-    def part(self, letters: str) -> bytes:
+    def part(self, letters: str) -> list[int]:
         """Ids of lower-case letters or of punctuation, which the pre-tokeniser leaves whole."""
-        found = self.parts.get(letters)
-        if found is None:
-            symbols = letters if letters.isascii() else self.bytes_of(letters)[0][0]
-            found = self.parts[letters] = array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
-        return found
-
-    def word(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if plain is None or "<|" in word:
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        letters, marks = plain.groups()
-        if not marks:
-            return self.part(letters.lower())
-        return self.part(letters.lower()) + self.part(marks) if letters else self.part(marks)
-
-    def row(self, ids: bytes) -> int:
-        self.begins.append(len(self.ids))
-        self.ids.frombytes(ids)
-        self.sizes.append(len(self.ids) - self.begins[-1])
-        return len(self.sizes) - 1
+        symbols = letters if letters.isascii() else letters.translate(self.symbols)
+        return [t.id for t in self.tokenizer.model.tokenize(symbols)]
+
+    def whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def rows_of(self, texts: pa.Array, ids_of: Callable[[str], list[int]]) -> np.ndarray:
+        """The row of each text. A text is always a part or always a whole word, as words that are not plain
+        or hold ``<|`` are no parts of others."""
+        coded = texts.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [n for n in names if n not in self.rows]
+        found = [ids_of(n) for n in new]
+        self.rows.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
+        self.sizes.extend(map(len, found))
+        self.ids.extend(chain.from_iterable(found))
+        rows = np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))
+        return rows[coded.indices.to_numpy(zero_copy_only=False)]
 
     def of_texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids + [END_ID] for e in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
@@ -110,19 +126,21 @@ class TokenIds:
         if len(self.rows) > REMEMBERED:
             self.forget()
         distinct, codes, ends = split_words(texts)
-        words = distinct.to_pylist()
-        rows = [self.rows.get(w, -1) for w in words]
-        for i, row in enumerate(rows):
-            if row < 0:
-                rows[i] = self.rows[words[i]] = self.row(self.word(words[i]))
-        # The end ids are one more word after each text.
-        rows.append(self.row(array("I", [END_ID]).tobytes()))
-        codes = np.insert(codes, ends[1:], len(rows) - 1)
-        row = np.array(rows)[codes]
-        sizes = np.array(self.sizes)[row]
-        stops = np.concatenate([[0], np.cumsum(sizes)])
-        picks = np.repeat(np.array(self.begins)[row] - stops[:-1], sizes) + np.arange(stops[-1])
-        return np.array(self.ids, np.uint32)[picks], stops[ends + np.arange(len(ends))]
+        taken = pc.extract_regex(distinct, _PLAIN)
+        apart = pc.and_not(pc.is_valid(taken), pc.match_substring(distinct, "<|"))
+        plain = apart.to_numpy(zero_copy_only=False)
+        rows = np.zeros((len(distinct), 2), np.int64)
+        rows[plain, 0] = self.rows_of(pc.utf8_lower(taken.field("letters").filter(apart)), self.part)
+        rows[plain, 1] = self.rows_of(taken.field("marks").filter(apart), self.part)
+        rows[~plain, 0] = self.rows_of(distinct.filter(pc.invert(apart)), self.whole)
+        # The ids of all distinct words, and the end id as one more word after each text.
+        sizes = np.array(self.sizes)
+        picks, stops = spans((np.cumsum(sizes) - sizes)[rows.ravel()], sizes[rows.ravel()])
+        ids = np.append(np.array(self.ids, np.uint32)[picks], np.uint32(END_ID))
+        begins = stops[::2]
+        codes = np.insert(codes, ends[1:], len(distinct))
+        picks, stops = spans(begins[codes], np.append(np.diff(begins), 1)[codes])
+        return ids[picks], stops[ends + np.arange(len(ends))]
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

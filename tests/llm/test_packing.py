@@ -97,3 +97,15 @@ def test_ids_of_any_tokeniser_file(name, odd_rows):
     for text, a, b in zip(texts, ends, ends[1:]):
         assert ids[a:b].tolist() == [*whole.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
     assert packing.TokenIds(path).by_words == name.startswith("word")
+
+
+def test_parts_are_tokenised_once(monkeypatch):
+    """Words that differ in case and punctuation only share their letters, however many words there are."""
+    asked = []
+    of_part = packing.TokenIds.part
+    monkeypatch.setattr(packing.TokenIds, "part", lambda self, letters: asked.append(letters) or of_part(self, letters))
+    ids_of = packing.TokenIds(packing.tokenizer_path())
+    for text in ("sun, Sun. SUN! (sun été", "Été! sun? ÉTÉ, a<|b 1st"):
+        ids, _ = ids_of(pa.array([text]))
+        assert ids.tolist() == [*ids_of.tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
+    assert sorted(asked) == sorted(["sun", "été", ",", ".", "!", "?"])
