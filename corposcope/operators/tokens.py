@@ -14,7 +14,7 @@ from ..functions.keys import bucket_of, hash_key
 from ..functions.pieces import PieceIds
 from ..functions.rows import Cutter
 from ..sources.records import scan_vocabulary
-from .lookup import lookup_join
+from .lookup import lookup_terms
 from .ordering import digits_for, running_starts, slab_rows_for, with_order_key, with_slab, with_sorted_ordinal
 from .scoring import Band
 
@@ -149,11 +149,8 @@ def with_masks(
 
 
 def word_ids(df: DataFrame, vocab: DataFrame, key: str, text: str = "text", **join) -> DataFrame:
-    """``(key, ids)``: word ids in text order, from a vocabulary of any size, by a join."""
-    placed = df.select(key, F.posexplode_outer(words(text)).alias("at", "word"))
-    found = lookup_join(placed, vocab.select("word", "word_id"), "word", "inner", **join)
-    pairs = F.array_sort(F.collect_list(F.struct("at", "word_id")))
-    return found.groupBy(key).agg(pairs.getField("word_id").alias("ids"))
+    """``(key, ids)``: word ids in text order, from a vocabulary of any size, by a join on the distinct words of slices."""
+    return lookup_terms(df.select(key, text), key, words(text), vocab, "word", "word_id", **join).withColumnRenamed("values", "ids")
 
 
 def sequence_length(requested: int | None, model_max: int) -> int:

@@ -66,6 +66,13 @@ def test_native_pieces_need_no_python(spark, folder):
     assert "Arrow" not in text and "Python" not in text and "Arrow" in plan(QUERIES["tokenised"](spark, folder))
 
 
+@pytest.mark.parametrize("name", ["word_token_ids_salted"])
+def test_places_of_words_do_not_move(spark, folder, name):
+    """They meet the words of their slice where they are split, and are gathered there."""
+    text = plan(QUERIES[name](spark, folder))
+    assert "posexplode" in text and "Exchange" not in text.split("Generate posexplode")[0]
+
+
 def test_packs_from_a_store_move_nothing(spark, folder):
     text = plan(QUERIES["packed_from_store"](spark, folder))
     assert text.count("Bucketed: true") == 2 and "Exchange" not in text

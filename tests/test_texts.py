@@ -230,3 +230,15 @@ def test_percentile_file(spark, tmp_path):
 def test_unknown_task(spark, tmp_path):
     with pytest.raises(ValueError):
         tasks.scan_tasks(spark, str(tmp_path), "poetry")
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_word_ids_of_slices(spark, shuffled):
+    """A frequent word, one that the vocabulary lacks, empty words, no text; more slices than rows."""
+    texts = ["a b a  A", "z", None, "", "b " * 500, *[f"a w{i % 7} {i}" for i in range(40)]]
+    ids = {"a": 7, "b": 8, "": 9, **{f"w{i}": 20 + i for i in range(7)}}
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    vocab = spark.createDataFrame(list(ids.items()), "word string, word_id long")
+    want = {i: [ids[w] for w in t.lower().split(" ") if w in ids] for i, t in enumerate(texts) if t is not None}
+    got = {r["id"]: r["ids"] for r in T.word_ids(df, vocab, "id", shuffled=shuffled).collect()}
+    assert got == {i: found for i, found in want.items() if found}
