@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.pieces import words_of
 from ..session import staged
-from .lookup import lookup_join
+from .lookup import lookup_join, lookup_terms
 from .tokens import SPECIAL_PIECES, with_masks
 
 # Characters that are dropped before a text is split, and white space in Java's notation.
@@ -22,10 +22,10 @@ _SPACE = r"(?U)\s+"
 
 
 def chunks_of(text: Column) -> Column:
-    """The pieces of a text between white space; special pieces stand alone, empty chunks are left out."""
+    """The pieces of a text between white space; special pieces stand alone. White space at an end leaves an empty chunk there."""
     specials = "|".join(p.replace("[", r"\[").replace("]", r"\]") for p in SPECIAL_PIECES)
     clean = F.regexp_replace(F.coalesce(text, F.lit("")), _CONTROLS, "")
-    return F.filter(F.split(F.regexp_replace(clean, f"({specials})", " $1 "), _SPACE), lambda c: c != "")
+    return F.split(F.regexp_replace(F.regexp_replace(clean, f"({specials})", " $1 "), _SPACE, " "), " ")
 
 
 def _characters(text: Column) -> Column:
@@ -109,16 +109,14 @@ def tokenise_native(
 ) -> DataFrame:
     """``key`` and the four token arrays of ``tokens.tokenise``, without a Python worker.
 
-    ``key`` must tell the rows apart, ``vocab`` is ``(piece, id)``. Distinct chunks are counted before they move; the
-    places of all chunks move once to meet their ids, unless Spark can send these around, and once to their rows.
+    ``key`` must tell the rows apart, ``vocab`` is ``(piece, id)``. Distinct chunks are counted before they move; texts
+    move once, into slices, and the places of chunks not at all.
     """
     table = {r["piece"]: r["id"] for r in vocab.where(F.col("piece").isin(SPECIAL_PIECES)).collect()}
-    chunks = df.select(F.explode(F.array_distinct(chunks_of(F.col(text)))).alias("chunk")).distinct()
+    # The outer form keeps Spark from deriving a filter that splits the texts again; an empty chunk has no piece.
+    chunks = df.select(F.explode_outer(chunks_of(F.col(text))).alias("chunk")).distinct()
     ids = staged(chunk_pieces(staged(chunks, "chunks"), vocab), "chunk_ids")
-    placed = df.select(key, F.posexplode(chunks_of(F.col(text))).alias("at", "chunk"))
-    found = lookup_join(placed, ids.where(F.size("ids") > 0), "chunk", "inner")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "ids"))).getField("ids")
     # Rows without a piece come back with empty arrays.
-    rows = df.select(key).join(found.groupBy(key).agg(F.flatten(ordered).alias("_pieces")), key, "left")
-    rows = rows.withColumn("_pieces", F.coalesce("_pieces", F.array().cast("array<int>")))
+    found = lookup_terms(df.select(key, text), key, chunks_of(F.col(text)), ids.where(F.size("ids") > 0), "chunk", "ids", how="left")
+    rows = found.select(key, F.flatten("values").alias("_pieces"))
     return with_masks(rows, "_pieces", cls=table["[CLS]"], sep=table["[SEP]"], pad_id=table["[PAD]"], max_length=max_length, pad=pad).drop("_pieces")

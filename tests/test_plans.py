@@ -66,7 +66,7 @@ def test_native_pieces_need_no_python(spark, folder):
     assert "Arrow" not in text and "Python" not in text and "Arrow" in plan(QUERIES["tokenised"](spark, folder))
 
 
-@pytest.mark.parametrize("name", ["word_token_ids_salted"])
+@pytest.mark.parametrize("name", ["word_token_ids_salted", "tokenised_native"])
 def test_places_of_words_do_not_move(spark, folder, name):
     """They meet the words of their slice where they are split, and are gathered there."""
     text = plan(QUERIES[name](spark, folder))
